@@ -13,8 +13,11 @@ def money_sum(value: Column) -> Column:
 
 
 def rounded(value: Column, places: int) -> Column:
-    """Half-up rounding on the decimal value, returned as double."""
-    return F.round(value.cast("decimal(38,10)"), places).cast("double")
+    """Half-up rounding on the decimal value, returned as double.
+
+    Four digits beyond the result are kept first, which drops the noise of double arithmetic.
+    """
+    return F.round(value.cast(f"decimal(38,{places + 4})"), places).cast("double")
 
 
 def safe_ratio(numerator: Column, denominator: Column) -> Column:

@@ -20,7 +20,7 @@ DAY = "CASE WHEN try_cast(order_date AS date) IS NOT NULL THEN cast(order_date A
 
 
 def rnd(x: str, k: int) -> str:
-    return f"cast(round(cast({x} AS decimal(38,10)), {k}) AS double)"
+    return f"cast(round(cast({x} AS decimal(38,{k + 4})), {k}) AS double)"
 
 
 def money(x: str) -> str:
@@ -29,7 +29,7 @@ def money(x: str) -> str:
 
 def initcap(x: str) -> str:
     return (f"array_to_string(list_transform(string_split(lower(trim({x})), ' '), "
-            "w -> upper(substr(w, 1, 1)) || substr(w, 2)), ' ')")
+            "lambda w: upper(substr(w, 1, 1)) || substr(w, 2)), ' ')")
 
 
 def pct(x: str, k: int = 1) -> str:

@@ -19,6 +19,13 @@ RATING_KEY = "(order_id * 31 + item_id * 7)"
 WASTE_KEY = "(item_id * 13 + quantity_wasted * 5 + dayofyear(waste_date))"
 STOCK_KEY = "(item_id * 13 + dayofyear(week_start))"
 
+
+
+def _money(expression: str) -> str:
+    """Two places, rounded on the decimal value: engines round doubles differently at .5."""
+    return f"cast(round(cast({expression} AS decimal(38,6)), 2) AS double)"
+
+
 VIEWS: dict[str, str] = {
     "fx_orders": """
         SELECT o_orderkey AS order_id, o_custkey AS customer_id,
@@ -36,16 +43,16 @@ VIEWS: dict[str, str] = {
         FROM {orders}""",
     "fx_order_items": """
         SELECT order_id, item_id, line_no, quantity, unit_price, discount_pct,
-               round(quantity * unit_price * (1 - discount_pct / 100), 2)
+               """ + _money("quantity * unit_price * (1 - discount_pct / 100)") + """
                    + CASE WHEN """ + LINE_KEY + """ % 997 = 5 THEN 0.5 ELSE 0 END AS line_total
         FROM (SELECT l_orderkey AS order_id, l_partkey AS item_id, l_linenumber AS line_no,
                      cast(l_quantity AS int) AS quantity,
-                     round(l_extendedprice / l_quantity, 2) AS unit_price,
-                     round(l_discount * 100, 2) AS discount_pct
+                     """ + _money("l_extendedprice / l_quantity") + """ AS unit_price,
+                     """ + _money("l_discount * 100") + """ AS discount_pct
               FROM {lineitem}) AS priced""",
     "fx_menu_items": """
         SELECT p_partkey AS item_id, p_name AS item_name, p_brand AS brand, p_type AS category_id,
-               round(p_retailprice * (1 + p_size % 6) / 2, 2) AS base_cost,
+               """ + _money("p_retailprice * (1 + p_size % 6) / 2") + """ AS base_cost,
                p_size % 10 <> 0 AS is_active,
                date '1994-01-01' + cast(p_partkey % 365 AS int) AS introduced_date
         FROM {part}""",
