@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from larder.functions.columns import one_row
-from larder.session import ensure_checkpoint_dir
+from larder.session import settle
 
 MAX_ITEMSET = 20  # a rule set doubles with every item; longer itemsets are refused, not cut
 
@@ -59,17 +59,18 @@ def frequent_itemsets(lines: DataFrame, min_support: float = 0.01, fallback: flo
     An itemset reaches the support only if its items do, so the fallback decision needs the
     single items only.
     """
-    pairs = basket_items(lines)
+    pairs = settle(basket_items(lines))
     n_baskets = one_row(pairs, F.count_distinct("order_id").alias("n"))["n"]
     support = min_support
     if fallback is not None and frequent_items(pairs, n_baskets, support).isEmpty():
         support = fallback
     sets = baskets(pairs, frequent_items(pairs, n_baskets, support))
-    model = FPGrowth(itemsCol="items", minSupport=support).fit(sets.select("items"))
+    # small baskets arrive in few partitions; mining is spread over all cores all the same
+    cores = lines.sparkSession.sparkContext.defaultParallelism
+    model = FPGrowth(itemsCol="items", minSupport=support, numPartitions=cores).fit(sets.select("items"))
     # the model is lazy; its rows are read several times below, so mining is settled once
-    ensure_checkpoint_dir(lines.sparkSession)
-    return model.freqItemsets.select(
-        F.array_sort("items").alias("items"), F.col("freq"), (F.col("freq") / n_baskets).alias("support")).checkpoint()
+    return settle(model.freqItemsets.select(
+        F.array_sort("items").alias("items"), F.col("freq"), (F.col("freq") / n_baskets).alias("support")))
 
 
 def association_rules(itemsets: DataFrame, min_lift: float = 1.2, max_len: int | None = None) -> DataFrame:

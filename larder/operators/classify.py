@@ -11,6 +11,7 @@ from larder.functions.fixed import (
     NEUTRAL_RATING, PROFIT_DRIVER, QUALITY_HIDDEN_OPPORTUNITY, QUALITY_PROFIT_DRIVER, VOLUME_DRIVER, WASTE_OK,
 )
 from larder.operators.ranking import value_ranks
+from larder.session import settle
 from larder.sources.io import union_all
 
 MARGIN, UNITS = "profit_margin", "total_quantity_sold"
@@ -125,7 +126,8 @@ def multi_indicator_label(rows: DataFrame, out: str = "rule_label") -> DataFrame
     and reaches neither high-margin label.
     """
     eligible = ~F.coalesce(F.col("insufficient_history"), F.lit(False))
-    filled = rows.withColumns({
+    # read by the row count, by five rankings and by the result
+    filled = settle(rows).withColumns({
         "_units": F.col("units"), "_margin": F.col("profit_margin"),
         "_rating": F.coalesce("avg_rating", F.lit(NEUTRAL_RATING)),
         "_repeat": F.coalesce("repeat_purchase_rate", F.lit(0.0)),

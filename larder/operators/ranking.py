@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from larder.session import ensure_checkpoint_dir
+from larder.session import settle
 
 
 def global_row_number(frame: DataFrame, order_by: list[str], out: str = "row_number") -> DataFrame:
@@ -16,10 +16,9 @@ def global_row_number(frame: DataFrame, order_by: list[str], out: str = "row_num
     it. Only those counts (one row per partition) are summed in one place. Ties on the
     leading columns spread too, as long as ``order_by`` ends in a unique column.
     """
-    ensure_checkpoint_dir(frame.sparkSession)
     # monotonically_increasing_id: partition index in the upper bits, position in the lower 33
-    placed = (frame.orderBy(*order_by).withColumn("_id", F.monotonically_increasing_id()).checkpoint()
-              .withColumn("_part", F.shiftright("_id", 33)))
+    placed = settle(frame.orderBy(*order_by).withColumn("_id", F.monotonically_increasing_id())).withColumn(
+        "_part", F.shiftright("_id", 33))
     sizes = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_rows"))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select("_part", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start"))

@@ -20,7 +20,7 @@ from larder.operators import (
     segments,
 )
 from larder.plans.sales import SETTINGS, Sales
-from larder.session import ensure_checkpoint_dir
+from larder.session import ensure_checkpoint_dir, settle
 from larder.sources import io
 from larder.sources.io import union_all
 
@@ -318,7 +318,7 @@ def near_duplicate_orders(s):
 
 @query
 def classify_approx(s):
-    return classify.classify_approx(s.item_features)
+    return classify.classify_approx(s.item_table)
 
 
 @query
@@ -437,14 +437,14 @@ def customer_profile(s):
 
 @query
 def population_quantiles(s):
-    profile = segments.customer_profile(s.sales_lines, s.rfm, s.orders)
+    profile = settle(segments.customer_profile(s.sales_lines, s.rfm, s.orders))
     q = segments.population_quantiles(profile)
     return to_places(q, 4, *q.columns)
 
 
 @query
 def named_segments(s):
-    profile = segments.customer_profile(s.sales_lines, s.rfm, s.orders)
+    profile = settle(segments.customer_profile(s.sales_lines, s.rfm, s.orders))
     return segments.named_segments(profile).select("customer_id", "segment_name")
 
 
@@ -483,7 +483,7 @@ def top_rules(s):
 # --- waste risk (a trained forest; no SQL equivalent)
 
 def _risk(s: Sales):
-    model = risk.fit_waste_risk(s.item_features)
+    model = risk.fit_waste_risk(s.item_table)
     return model, risk.score_waste_risk(s.labelled, model)
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from larder.operators import basket, classify, features, forecast, joins, patterns, recommend, segments
 from larder.operators.cleaning import SalesCleaning
-from larder.session import configure
+from larder.session import configure, settle
 from larder.sources.fixtures import SalesTables
 
 # Parameters of the pattern checks on the synthetic tables (dates 1995-2001).
@@ -27,7 +27,12 @@ SETTINGS = patterns.PatternSettings(
 
 
 class Sales:
-    """Lazily built frames. Nothing runs until a caller acts on a result."""
+    """The tables and what is derived from them.
+
+    Frames are lazy. The feature tables that later steps read several times (``item_table``,
+    ``customer_table``, the weekly series, the inputs of the pattern checks) are settled in the
+    checkpoint folder first, as a batch chain would write them.
+    """
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.tables = SalesTables(configure(spark), sf_dir)
@@ -115,22 +120,30 @@ class Sales:
         rated = features.sales_lines(self.order_items, self.orders, joins.rating_rollup(self.ratings))
         return features.item_features(rated, self.items, self.categories, self.stock_moves, self.wastage)
 
+    @cached_property
+    def item_table(self) -> DataFrame:
+        return settle(self.item_features)
+
     @cached_property
     def rfm(self) -> DataFrame:
         return features.customer_rfm(self.sales_lines)
 
+    @cached_property
+    def customer_table(self) -> DataFrame:
+        return settle(self.rfm)
+
     # --- labels, segments, models
     @cached_property
     def labelled(self) -> DataFrame:
-        return classify.classify_exact(self.item_features)
+        return classify.classify_exact(self.item_table)
 
     @cached_property
     def compared(self) -> DataFrame:
-        return classify.compare_labels(classify.classify_approx(self.item_features), self.labelled)
+        return classify.compare_labels(classify.classify_approx(self.item_table), self.labelled)
 
     @cached_property
     def scored(self) -> DataFrame:
-        return segments.rfm_scores(self.rfm)
+        return segments.rfm_scores(self.customer_table)
 
     @cached_property
     def segmented(self) -> DataFrame:
@@ -159,7 +172,7 @@ class Sales:
 
     @cached_property
     def series(self) -> DataFrame:
-        return forecast.split_series(self.weekly)
+        return forecast.split_series(settle(self.weekly))
 
     @cached_property
     def metrics(self) -> DataFrame:
@@ -171,21 +184,22 @@ class Sales:
 
     def recommendations(self, risk: DataFrame | None = None) -> DataFrame:
         return recommend.combine([
-            *recommend.item_rules(self.labelled, risk), recommend.bundle_rule(self.rules),
+            *recommend.item_rules(settle(self.labelled), risk), recommend.bundle_rule(self.rules),
             recommend.stock_rule(self.forecast), recommend.segment_rules(self.segmented)])
 
     # --- inputs of the pattern checks, measured on the raw tables
     @cached_property
     def checked_orders(self) -> DataFrame:
-        return patterns.valid_orders(self.view("raw_orders"), self.locations, SETTINGS.start, SETTINGS.end)
+        return settle(patterns.valid_orders(
+            self.view("raw_orders"), self.locations, SETTINGS.start, SETTINGS.end))
 
     @cached_property
     def valid_lines(self) -> DataFrame:
-        return patterns.valid_lines(self.view("raw_order_items"), self.checked_orders, self.items)
+        return settle(patterns.valid_lines(self.view("raw_order_items"), self.checked_orders, self.items))
 
     @cached_property
     def checked_lines(self) -> DataFrame:
-        return patterns.checked_lines(self.valid_lines, self.checked_orders, self.items)
+        return settle(patterns.checked_lines(self.valid_lines, self.checked_orders, self.items))
 
     @cached_property
     def checked_waste(self) -> DataFrame:

@@ -2,7 +2,7 @@
 
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime settings; everything here can be set on a live session.
 RUNTIME = {
@@ -38,3 +38,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         configured = tempfile.mkdtemp(prefix="larder-checkpoint-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
+
+
+def settle(frame: DataFrame) -> DataFrame:
+    """Compute a frame once and read it back from the checkpoint folder.
+
+    For tables that several later steps read. The copy lies in shared storage, so a lost
+    executor costs a re-read and not a recomputation of everything before it.
+    """
+    ensure_checkpoint_dir(frame.sparkSession)
+    return frame.checkpoint()

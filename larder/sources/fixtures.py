@@ -22,8 +22,8 @@ STOCK_KEY = "(item_id * 13 + dayofyear(week_start))"
 
 
 def _money(expression: str) -> str:
-    """Two places, rounded on the decimal value: engines round doubles differently at .5."""
-    return f"cast(round(cast({expression} AS decimal(38,6)), 2) AS double)"
+    """Two places by plain floating-point steps, which every engine computes alike."""
+    return f"floor(({expression}) * 100 + 0.5) / 100"
 
 
 VIEWS: dict[str, str] = {
@@ -263,18 +263,24 @@ def with_clause(sql: str, table_of=lambda name: name, steps: dict[str, str] | No
 
 
 class SalesTables:
-    """Lazy access to the views over one parquet folder."""
+    """Lazy access to the views over one parquet folder. Each table and view is analysed once."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = str(sf_dir).rstrip("/")
+        self._frames: dict[str, DataFrame] = {}
 
     def base(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        if name not in self._frames:
+            self._frames[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self._frames[name]
 
     def view(self, name: str) -> DataFrame:
-        sql = with_clause(f"SELECT * FROM {name}", lambda t: f"parquet.`{self.sf_dir}/{t}.parquet`")
-        return self.spark.sql(sql)
+        if name not in self._frames:
+            sql = _VIEW_NAME.sub(lambda m: "{" + m[0] + "}" if m[0] in VIEWS else m[0], VIEWS[name])
+            inputs = {n: self.view(n) if n in VIEWS else self.base(n) for n in set(re.findall(r"{(\w+)}", sql))}
+            self._frames[name] = self.spark.sql(sql, **inputs)
+        return self._frames[name]
 
     def raw(self) -> dict[str, DataFrame]:
         return {table: self.view(name) for table, name in RAW_TABLES.items()}
