@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from larder.functions.columns import count_true, money_sum, one_row, rounded, safe_ratio
 from larder.functions.fixed import COMPLETED, ITEM_FEATURE_COLUMNS, LINE_FEATURE_COLUMNS
+from larder.session import settle
 from larder.sources.io import union_all
 
 
@@ -60,15 +61,18 @@ def customer_rfm(lines: DataFrame, as_of: Column | None = None) -> DataFrame:
     Lines are summed per order first, which makes the order count a plain count. Recency
     counts back from the newest completed order of the data unless ``as_of`` is given.
     """
-    done = completed_only(lines)
-    newest = one_row(done, F.max("order_date").alias("day"))["day"] if as_of is None else as_of
-    per_order = done.groupBy("customer_id", "order_id").agg(
+    per_order = completed_only(lines).groupBy("customer_id", "order_id").agg(
         F.max("order_date").alias("order_date"), money_sum(F.col("net_revenue")).alias("net"))
-    return per_order.groupBy("customer_id").agg(
+    customers = per_order.groupBy("customer_id").agg(
         F.count(F.lit(1)).alias("frequency"),
         F.round(F.sum("net"), 2).cast("double").alias("monetary"),
-        F.max("order_date").alias("last_order_date"),
-    ).select("customer_id", "frequency", "monetary", F.datediff(newest, "last_order_date").alias("recency_days"))
+        F.max("order_date").alias("last_order_date"))
+    if as_of is None:
+        # the newest day comes from the customer rows, so the lines are read once
+        customers = settle(customers)
+        as_of = one_row(customers, F.max("last_order_date").alias("day"))["day"]
+    return customers.select("customer_id", "frequency", "monetary",
+                            F.datediff(as_of, "last_order_date").alias("recency_days"))
 
 
 def item_sales(lines: DataFrame) -> DataFrame:

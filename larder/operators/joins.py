@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from larder.session import settle
 from larder.sources.io import union_all
 
 
@@ -77,11 +78,19 @@ def audit_step(step: str, step_no: int, left: DataFrame, right: DataFrame, keys:
     joined = n_left.join(n_right, keys, "left")
     matched = F.coalesce(F.col("n_right"), F.lit(1))
     totals = joined.agg(
-        F.coalesce(F.sum("n_left"), F.lit(0)).cast("bigint").alias("rows_before"),
-        F.coalesce(F.sum(F.col("n_left") * matched), F.lit(0)).cast("bigint").alias("rows_after"),
-        F.coalesce(F.sum(F.when(F.col("n_right").isNull(), F.col("n_left"))), F.lit(0)).cast("bigint")
-        .alias("unmatched"))
-    duplicates = n_right.agg(F.count_if(F.col("n_right") > 1).alias("value")).scalar()
+        _count(F.col("n_left")).alias("rows_before"), _count(F.col("n_left") * matched).alias("rows_after"),
+        _count(F.when(F.col("n_right").isNull(), F.col("n_left"))).alias("unmatched"))
+    return _audit_row(totals, step, step_no, keys, n_right, "n_right", full_match)
+
+
+def _count(rows: Column) -> Column:
+    return F.coalesce(F.sum(rows), F.lit(0)).cast("bigint")
+
+
+def _audit_row(totals: DataFrame, step: str, step_no: int, keys: list[str], right_counts: DataFrame,
+               n_right: str, full_match: bool) -> DataFrame:
+    """The report of one step from its row counts and the row count per key of the right side."""
+    duplicates = right_counts.agg(F.count_if(F.col(n_right) > 1).alias("value")).scalar()
     grown = F.col("rows_after") - F.col("rows_before")
     flags = [F.when(grown > 0, F.format_string("BALLOON (+%,d rows)", grown))]
     if full_match:
@@ -94,24 +103,45 @@ def audit_step(step: str, step_no: int, left: DataFrame, right: DataFrame, keys:
         F.when(text == "", F.lit("ok")).otherwise(text).alias("result"))
 
 
+def audit_lookups(first_no: int, left: DataFrame, lookups: list[tuple[str, DataFrame, list[str], bool]]) -> DataFrame:
+    """Audit rows of consecutive left joins whose right sides bring no further join key.
+
+    Each right side is reduced to its row count per key, so a row is never multiplied: the
+    product of the counts met so far is its weight. All steps are summed in one pass.
+    """
+    rows, weight, sums, counts = left, F.lit(1).cast("bigint"), [], []
+    for i, (_, right, keys, _) in enumerate(lookups):
+        per_key = right.groupBy(*keys).agg(F.count(F.lit(1)).alias(f"n{i}"))
+        rows = rows.join(per_key, keys, "left")
+        after = weight * F.coalesce(F.col(f"n{i}"), F.lit(1))
+        sums += [_count(weight).alias(f"before{i}"), _count(after).alias(f"after{i}"),
+                 _count(F.when(F.col(f"n{i}").isNull(), weight)).alias(f"unmatched{i}")]
+        counts.append(per_key)
+        weight = after
+    totals = settle(rows.agg(*sums))
+    return union_all([
+        _audit_row(totals.select(F.col(f"before{i}").alias("rows_before"), F.col(f"after{i}").alias("rows_after"),
+                                 F.col(f"unmatched{i}").alias("unmatched")),
+                   step, first_no + i, keys, counts[i], f"n{i}", full_match)
+        for i, (step, _, keys, full_match) in enumerate(lookups)])
+
+
 def join_audit(lines: DataFrame, orders: DataFrame, items: DataFrame, categories: DataFrame,
                customers: DataFrame, locations: DataFrame, prices: DataFrame, ratings: DataFrame) -> DataFrame:
     """One audit row per step of the wide join. Only key columns travel from step to step."""
-    steps = [
-        ("orders", orders.select("order_id", "customer_id", "location_id"), ["order_id"], True),
-        ("menu_items", items.select("item_id", "category_id"), ["item_id"], True),
-        ("menu_categories", categories.select("category_id"), ["category_id"], True),
-        ("customers", customers.select("customer_id"), ["customer_id"], True),
-        ("restaurants", locations.select("location_id"), ["location_id"], True),
-        ("pricing", price_rollup(prices).select("item_id"), ["item_id"], True),
-        ("ratings", rating_rollup(ratings).select("order_id", "item_id"), ["order_id", "item_id"], False),
-    ]
-    left = lines.select("order_id", "item_id")
-    rows = []
-    for number, (name, right, keys, full_match) in enumerate(steps, 1):
-        rows.append(audit_step(name, number, left, right, keys, full_match))
-        left = left.join(right, keys, "left")
-    return union_all(rows)
+    order_keys = orders.select("order_id", "customer_id", "location_id")
+    item_keys = items.select("item_id", "category_id")
+    bare = lines.select("order_id", "item_id")
+    ordered = bare.join(order_keys, "order_id", "left")
+    return union_all([
+        audit_step("orders", 1, bare, order_keys, ["order_id"]),
+        audit_step("menu_items", 2, ordered, item_keys, ["item_id"]),
+        audit_lookups(3, ordered.join(item_keys, "item_id", "left"), [
+            ("menu_categories", categories, ["category_id"], True),
+            ("customers", customers, ["customer_id"], True),
+            ("restaurants", locations, ["location_id"], True),
+            ("pricing", price_rollup(prices), ["item_id"], True),
+            ("ratings", rating_rollup(ratings), ["order_id", "item_id"], False)])])
 
 
 def reconcile(before: DataFrame, after: DataFrame) -> DataFrame:

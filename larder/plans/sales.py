@@ -30,7 +30,7 @@ class Sales:
     """The tables and what is derived from them.
 
     Frames are lazy. The feature tables that later steps read several times (``item_table``,
-    ``customer_table``, the weekly series, the inputs of the pattern checks) are settled in the
+    ``rfm``, the weekly series, the inputs of the pattern checks) are settled in the
     checkpoint folder first, as a batch chain would write them.
     """
 
@@ -128,10 +128,6 @@ class Sales:
     def rfm(self) -> DataFrame:
         return features.customer_rfm(self.sales_lines)
 
-    @cached_property
-    def customer_table(self) -> DataFrame:
-        return settle(self.rfm)
-
     # --- labels, segments, models
     @cached_property
     def labelled(self) -> DataFrame:
@@ -143,7 +139,7 @@ class Sales:
 
     @cached_property
     def scored(self) -> DataFrame:
-        return segments.rfm_scores(self.customer_table)
+        return segments.rfm_scores(self.rfm)
 
     @cached_property
     def segmented(self) -> DataFrame:

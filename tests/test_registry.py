@@ -55,20 +55,26 @@ def test_plans_have_no_cross_join_and_prune_the_scan(spark):
     assert "l_shipdate" not in rfm and "l_tax" not in rfm and "p_name" not in rfm
 
 
-def test_waste_risk_ranks_like_the_target(spark):
-    items = Sales(spark, FOLDER).item_table
+def test_waste_risk_learns_the_target(spark):
+    rows = [(i, f"n{i}", 10 * (i % 40), None if i % 9 == 0 else 1.0 + i % 5, "AB"[i % 2],
+             None if i % 25 == 3 else (0.3 if i % 40 < 10 else 0.05) + (0.1 if i % 2 else 0.0)) for i in range(240)]
+    items = spark.createDataFrame(rows, "item_id int, item_name string, total_quantity_sold int, avg_rating double,"
+                                        "category_name string, wastage_percent double")
+    known = [r for r in rows if r[5] is not None]
+    assert tuple(risk.dropped_without_target(items).first()) == (240, 240 - len(known))
     model = risk.fit_waste_risk(items, trees=20, depth=6)
     scored = risk.score_waste_risk(items, model)
-    assert scored.count() == items.filter("wastage_percent IS NOT NULL").count()
-    assert scored.stat.corr("wastage_percent", "predicted_wastage_risk") > 0.6
+    assert scored.count() == len(known)
+    assert scored.stat.corr("wastage_percent", "predicted_wastage_risk") > 0.95
     weights = risk.importances(model, spark=spark).collect()
     assert abs(sum(r.importance for r in weights) - 1) < 1e-6
-    assert [r.importance for r in weights] == sorted((r.importance for r in weights), reverse=True)
+    assert weights[0].feature == "total_quantity_sold"
+    assert {r.wastage_percent for r in risk.top_predicted(scored).collect()} == {0.4}
 
 
 def test_feature_table_invariants(spark):
     sales = Sales(spark, FOLDER)
-    items, rfm, lines = sales.item_table, sales.customer_table, sales.line_features
+    items, rfm, lines = sales.item_table, sales.rfm, sales.line_features
     assert items.count() == items.select("item_id").distinct().count()
     assert rfm.count() == rfm.select("customer_id").distinct().count()
     assert rfm.filter("recency_days < 0 OR frequency < 1").count() == 0
