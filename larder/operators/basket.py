@@ -54,21 +54,21 @@ def baskets(pairs: DataFrame, keep: DataFrame | None = None) -> DataFrame:
 
 
 def frequent_itemsets(lines: DataFrame, min_support: float = 0.01, fallback: float | None = 0.005) -> DataFrame:
-    """Itemsets of any size with at least ``min_support``, or ``fallback`` where nothing reaches it.
-
-    An itemset reaches the support only if its items do, so the fallback decision needs the
-    single items only.
-    """
+    """Itemsets of any size with at least ``min_support``, or ``fallback`` where nothing reaches it."""
     pairs = settle(basket_items(lines))
     n_baskets = one_row(pairs, F.count_distinct("order_id").alias("n"))["n"]
-    support = min_support
-    if fallback is not None and frequent_items(pairs, n_baskets, support).isEmpty():
-        support = fallback
+    found = _mine(pairs, n_baskets, min_support)
+    if fallback is not None and found.isEmpty():
+        found = _mine(pairs, n_baskets, fallback)
+    return found
+
+
+def _mine(pairs: DataFrame, n_baskets: Column, support: float) -> DataFrame:
     sets = baskets(pairs, frequent_items(pairs, n_baskets, support))
     # small baskets arrive in few partitions; mining is spread over all cores all the same
-    cores = lines.sparkSession.sparkContext.defaultParallelism
+    cores = pairs.sparkSession.sparkContext.defaultParallelism
     model = FPGrowth(itemsCol="items", minSupport=support, numPartitions=cores).fit(sets.select("items"))
-    # the model is lazy; its rows are read several times below, so mining is settled once
+    # the model is lazy and its rows are read several times, so mining is settled once
     return settle(model.freqItemsets.select(
         F.array_sort("items").alias("items"), F.col("freq"), (F.col("freq") / n_baskets).alias("support")))
 

@@ -126,7 +126,7 @@ def multi_indicator_label(rows: DataFrame, out: str = "rule_label") -> DataFrame
     and reaches neither high-margin label.
     """
     eligible = ~F.coalesce(F.col("insufficient_history"), F.lit(False))
-    # read by the row count, by five rankings and by the result
+    # read by the row count, by the rankings and by the result
     filled = settle(rows).withColumns({
         "_units": F.col("units"), "_margin": F.col("profit_margin"),
         "_rating": F.coalesce("avg_rating", F.lit(NEUTRAL_RATING)),
@@ -136,8 +136,9 @@ def multi_indicator_label(rows: DataFrame, out: str = "rule_label") -> DataFrame
     n = one_row(ranked, F.count(F.lit(1)).alias("n"))["n"]
     measures = ["_units", "_margin", "_rating", "_repeat", "_waste"]
     result = filled
-    for m in measures:
-        result = result.join(value_ranks(ranked, m, f"{m}_below").select(m, f"{m}_below"), m, "left")
+    for m, ranks in value_ranks(ranked, measures).items():
+        ranks = ranks.select(F.col("value").alias(f"{m}_value"), F.col("below").alias(f"{m}_below"))
+        result = result.join(ranks, F.col(m).cast("double") == F.col(f"{m}_value"), "left")
     share = {m: F.col(f"{m}_below") / F.greatest(n - 1, F.lit(1)) for m in measures}
     quality = 0.5 * share["_rating"] + 0.25 * share["_repeat"] + 0.25 * (1 - share["_waste"])
     popular = F.coalesce(share["_units"] >= HIGH_RANK, F.lit(False))

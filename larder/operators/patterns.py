@@ -15,6 +15,7 @@ from larder.functions.columns import money_sum, rounded, safe_ratio
 from larder.functions.fixed import COMPLETED
 from larder.operators.features import observed_waste
 from larder.operators.ranking import value_ranks
+from larder.session import settle
 from larder.sources.io import union_all
 
 
@@ -86,10 +87,11 @@ def item_profile(lines: DataFrame, ratings: DataFrame, prepared: DataFrame, wast
     rated = (ratings.filter(F.col("rating_value").between(1, 5)).groupBy("item_id")
              .agg(F.avg("rating_value").alias("rating")))
     waste = observed_waste(prepared, wasted, "item_id")
+    sold = settle(sold)
     n = sold.agg(F.count(F.lit(1)).alias("value")).scalar()
-    ranks = value_ranks(sold, "units", "below")
+    ranks = value_ranks(sold, ["units"])["units"].select(F.col("value").cast("bigint").alias("units"), "below", "ties")
     # average position counted from the best seller
-    rank = n - F.col("below") - F.col("below_ties") + (F.col("below_ties") + 1) / 2
+    rank = n - F.col("below") - F.col("ties") + (F.col("ties") + 1) / 2
     return (sold.join(ranks, "units").join(rated, "item_id", "left").join(waste, "item_id", "left")
             .select("item_id", "units", safe_ratio(F.col("profit"), F.col("net")).alias("margin"), "promo_share",
                     "weekend_share", "december_share", "first_sale", "rating", "waste_ratio",

@@ -41,13 +41,16 @@ def quantiles_of_ranked(ranked: DataFrame, value: str, row_number: str, shares:
     return ranked.agg(*picks)
 
 
-def value_ranks(frame: DataFrame, value: str, out: str) -> DataFrame:
-    """Distinct non-null values with ``out`` = rows below and ``out_ties`` = rows at the value.
+def value_ranks(frame: DataFrame, values: list[str]) -> dict[str, DataFrame]:
+    """Per column: its distinct non-null values with rows ``below`` and rows ``ties`` at the value.
 
     Meant for columns with few distinct values: rounded ratios and ratings, day counts, or
-    whole-number totals (n distinct positive totals need a sum of at least n * n / 2). Rows are
-    counted per value before the one window, so the window sees the values and not the rows.
+    whole-number totals (n distinct positive totals need a sum of at least n * n / 2). All
+    columns are counted in one pass, so the windows see the values and not the rows.
     """
-    counts = frame.filter(F.col(value).isNotNull()).groupBy(value).agg(F.count(F.lit(1)).alias(f"{out}_ties"))
-    below = Window.orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
-    return counts.withColumn(out, F.coalesce(F.sum(f"{out}_ties").over(below), F.lit(0)))
+    entries = F.array(*[F.struct(F.lit(v).alias("column"), F.col(v).cast("double").alias("value")) for v in values])
+    counts = (frame.select(F.inline(entries)).filter(F.col("value").isNotNull())
+              .groupBy("column", "value").agg(F.count(F.lit(1)).alias("ties")))
+    below = Window.partitionBy("column").orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
+    ranks = settle(counts.withColumn("below", F.coalesce(F.sum("ties").over(below), F.lit(0))))
+    return {v: ranks.filter(F.col("column") == v).select("value", "below", "ties") for v in values}

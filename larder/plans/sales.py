@@ -199,10 +199,14 @@ class Sales:
 
     @cached_property
     def checked_waste(self) -> DataFrame:
-        return (self.view("raw_wastage").filter(F.col("quantity_wasted").between(1, 1000))
-                .join(self.locations.select("location_id"), "location_id", "left_semi")
-                .join(self.items.select("item_id"), "item_id", "left_semi"))
+        """Valid wasted units per item and location; the checks only sum them further."""
+        valid = (self.view("raw_wastage").filter(F.col("quantity_wasted").between(1, 1000))
+                 .join(self.locations.select("location_id"), "location_id", "left_semi")
+                 .join(self.items.select("item_id"), "item_id", "left_semi"))
+        return settle(valid.groupBy("item_id", "location_id").agg(F.sum("quantity_wasted").alias("quantity_wasted")))
 
     @cached_property
     def checked_stock(self) -> DataFrame:
-        return self.view("raw_inventory").join(self.locations.select("location_id"), "location_id", "left_semi")
+        """Prepared units per item and known location."""
+        valid = self.view("raw_inventory").join(self.locations.select("location_id"), "location_id", "left_semi")
+        return settle(valid.groupBy("item_id", "location_id").agg(F.sum("prepared_qty").alias("prepared_qty")))
