@@ -1,15 +1,22 @@
 """Column helpers shared by the operators."""
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
 def money_sum(value: Column) -> Column:
-    """Sum of amounts as an exact decimal, so the total does not depend on task order.
+    """Exact sum of amounts to six places as a decimal, independent of task order.
 
-    Six places hold price x quantity x (1 - percent / 100) without rounding.
+    Six places hold price x quantity x (1 - percent / 100) without rounding. Whole units and
+    millionths are summed as integers, which stays in generated code; decimals appear only in
+    the result.
     """
-    return F.sum(value.cast("decimal(18,6)"))
+    whole = F.floor(value)
+    millionths = F.rint((value - whole) * 1000000).cast("bigint")
+    return (F.sum(whole).cast("decimal(28,0)")
+            + F.sum(millionths).cast("decimal(28,0)") * F.lit(Decimal("0.000001")))
 
 
 def rounded(value: Column, places: int) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from larder.functions.columns import one_row, rounded, safe_ratio
+from larder.functions.columns import money_sum, one_row, rounded, safe_ratio
 from larder.functions.fixed import (
     HIDDEN_OPPORTUNITY, HIGH_RANK, INSUFFICIENT_HISTORY, LOW_PERFORMER, MIN_HISTORY_DAYS, MIN_UNITS,
     NEUTRAL_RATING, PROFIT_DRIVER, QUALITY_HIDDEN_OPPORTUNITY, QUALITY_PROFIT_DRIVER, VOLUME_DRIVER, WASTE_OK,
@@ -99,8 +99,7 @@ def item_location_features(lines: DataFrame, prepared: DataFrame, wasted: DataFr
     done = lines.filter(F.col("is_completed") == 1)
     per_customer = done.groupBy(*key, "customer_id").agg(
         F.count_distinct("order_id").alias("orders"), F.sum("quantity").alias("units"),
-        F.sum(F.col("net_revenue").cast("decimal(18,6)")).alias("net"),
-        F.sum(F.col("line_profit").cast("decimal(18,6)")).alias("profit"),
+        money_sum(F.col("net_revenue")).alias("net"), money_sum(F.col("line_profit")).alias("profit"),
         F.sum("avg_rating").alias("rating_sum"), F.count("avg_rating").alias("n_rated"),
         F.min("order_date").alias("first_day"), F.max("order_date").alias("last_day"))
     sold = per_customer.groupBy(*key).agg(

@@ -84,7 +84,7 @@ def item_sales(lines: DataFrame) -> DataFrame:
         F.count_distinct("order_id").alias("n_orders"),
         money_sum(F.col("net_revenue")).alias("net_exact"),
         *rating,
-        rounded(safe_ratio(F.sum(F.col("discount_pct").cast("decimal(12,4)")), F.count("discount_pct")), 2)
+        rounded(safe_ratio(money_sum(F.col("discount_pct")), F.count("discount_pct")), 2)
         .alias("avg_discount_pct"),
         rounded(F.avg(weekend), 3).alias("weekend_share"))
 
