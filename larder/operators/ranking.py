@@ -11,8 +11,8 @@ from larder.session import settle
 def global_row_number(frame: DataFrame, order_by: list[str], out: str = "row_number") -> DataFrame:
     """Number all rows 1..n in the given order.
 
-    Spark's range sort spreads the rows, the sorted rows are checkpointed so that positions
-    are settled once, and each partition's start is the row count of the partitions before
+    Spark's range sort spreads the rows, the sorted rows are written with their position in
+    their partition, and each partition's start is the row count of the partitions before
     it. Only those counts (one row per partition) are summed in one place. Ties on the
     leading columns spread too, as long as ``order_by`` ends in a unique column.
     """

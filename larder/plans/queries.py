@@ -20,7 +20,7 @@ from larder.operators import (
     segments,
 )
 from larder.plans.sales import SETTINGS, Sales
-from larder.session import ensure_checkpoint_dir, settle
+from larder.session import scratch_root, settle
 from larder.sources import io
 from larder.sources.io import union_all
 
@@ -51,7 +51,7 @@ def to_places(frame: DataFrame, places: int, *names: str) -> DataFrame:
 
 def _scratch(s: Sales, name: str) -> str:
     spark = s.tables.spark
-    return f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 # --- sources and sinks

@@ -1,6 +1,8 @@
-"""Session settings the jobs are written for."""
+"""Session settings the jobs are written for, and the folder their intermediate tables go to."""
 
+import atexit
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -13,6 +15,10 @@ RUNTIME = {
     "spark.sql.session.timeZone": "UTC",
 }
 
+_RUN = f"larder-{uuid.uuid4().hex}"
+_roots: dict[str, SparkSession] = {}
+_local: list[str] = []
+
 
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to an existing session and return it."""
@@ -21,30 +27,40 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the checkpoint folder of the session.
+def scratch_root(spark: SparkSession) -> str:
+    """Folder of this run's intermediate tables, removed when the program ends.
 
-    The folder named in ``spark.checkpoint.dir`` is used where the cluster sets one.
-    Only a local master may fall back to a temporary folder.
+    It lies in the folder named by ``spark.checkpoint.dir``, which all executors share. Only a local master
+    without that setting, as in tests, gets a temporary folder.
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured is None:
-        if not sc.master.startswith("local"):
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not configured:
+        if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        configured = tempfile.mkdtemp(prefix="larder-checkpoint-")
-    sc.setCheckpointDir(configured)
-    return sc.getCheckpointDir()
+        if not _local:
+            _local.append(tempfile.mkdtemp(prefix="larder-"))
+        configured = _local[0]
+    root = f"{configured.rstrip('/')}/{_RUN}"
+    if not _roots:
+        atexit.register(_clear)
+    _roots[root] = spark
+    return root
+
+
+def _clear() -> None:
+    for root, spark in _roots.items():
+        if spark.sparkContext._jsc is not None:  # the session may have been stopped before
+            path = spark._jvm.org.apache.hadoop.fs.Path(root)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def settle(frame: DataFrame) -> DataFrame:
-    """Compute a frame once and read it back from the checkpoint folder.
+def settle(frame: DataFrame, name: str = "frame") -> DataFrame:
+    """Write a frame as a Parquet table into the run's folder and read it back.
 
-    For tables that several later steps read. The copy lies in shared storage, so a lost
-    executor costs a re-read and not a recomputation of everything before it.
+    For tables that several later steps read, or where the lineage is to be cut. Readers take the columns and
+    rows they need from the files, and a lost executor costs a re-read.
     """
-    ensure_checkpoint_dir(frame.sparkSession)
-    return frame.checkpoint()
+    spark = frame.sparkSession
+    path = f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+    frame.write.parquet(path)
+    return spark.read.schema(frame.schema).parquet(path)
