@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import os
+import pathlib
+import shutil
+import tempfile
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -12,16 +16,31 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from larder.session import configure
 
 SLICE_BYTES = 2 << 20  # text handled at once inside a task
+_shipped: list = []
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Keep Arrow batches small, so that a task's memory does not depend on how long texts are."""
+    """Keep Arrow batches small, so that a task's memory does not depend on how long texts are, and make sure
+    that Python workers can import this package."""
     configure(spark)
+    _ship(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
     return spark
 
 
+def _ship(spark: SparkSession) -> None:
+    """Send the package to the workers, unless they find it through PYTHONPATH or have it installed."""
+    root = pathlib.Path(__file__).resolve().parents[2]
+    paths = [pathlib.Path(p or ".").resolve() for p in os.environ.get("PYTHONPATH", "").split(os.pathsep)]
+    sc = spark.sparkContext
+    if root in paths or root.name == "site-packages" or any(s is sc for s, _ in _shipped):
+        return
+    folder = tempfile.TemporaryDirectory()  # the driver serves the archive from here as long as the program runs
+    _shipped.append((sc, folder))
+    sc.addPyFile(shutil.make_archive(f"{folder.name}/larder", "zip", root, "larder"))
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut batches into runs of rows whose ``column`` holds about ``limit`` bytes (one row at least)."""
     for batch in batches:

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larder.llm import language_id, secret_scan, token_counts
+from larder.llm import language_id, near_vectors, ngram_join, secret_scan, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 BYTE_BPE = "byte_bpe_50k.json"
@@ -52,9 +52,19 @@ def op2_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
                         F.size("lexed").cast("long").alias("n_lexed"))
 
 
+@query
+def op8_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    return ngram_join.ngram_components(table(spark, folder, "documents"))
+
+
 @query
 def op9_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, folder, "documents"), public_tokenizers.path(BYTE_BPE))
 
 
+@query
+def op10_near_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    return near_vectors.vector_links(table(spark, folder, "embeddings"))
+
+
 ORACLES: dict[str, str] = {}
