@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larder.llm import language_id, near_vectors, ngram_join, secret_scan, token_counts
+from larder.llm import (
+    decontamination, fuzzy_lines, language_id, near_vectors, ngram_join, pieces, secret_scan, token_counts,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 BYTE_BPE = "byte_bpe_50k.json"
@@ -52,6 +54,22 @@ def op2_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
                         F.size("lexed").cast("long").alias("n_lexed"))
 
 
+@query
+def op3_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontamination.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query
+def op5_pieces(spark: SparkSession, folder: str) -> DataFrame:
+    return pieces.round_trip(table(spark, folder, "documents"), public_tokenizers.path(PIECES))
+
+
+@query
+def op7_fuzzy_lines(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return fuzzy_lines.dedup_lines(docs, counts=True)
+
+
 @query
 def op8_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     return ngram_join.ngram_components(table(spark, folder, "documents"))

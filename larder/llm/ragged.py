@@ -12,6 +12,8 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, *range(9, 14)]] = True
+NO_LETTER = np.ones(256, bool)  # breaks words at any ASCII character that is no letter or digit
+NO_LETTER[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = False
 _powers: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 
@@ -32,7 +34,7 @@ def mix(h: np.ndarray) -> np.ndarray:
 
 
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hash of each byte span of ``data`` (spans in ascending order), by prefix sums."""
+    """64-bit hash of each span of ``data``, bytes or code points, by prefix sums (spans in ascending order)."""
     out = np.empty(len(starts), np.uint64)
     first = 0
     while first < len(starts):  # groups of spans within CHUNK bytes, or one longer span
@@ -41,18 +43,19 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
         high = int(ends[last - 1])
         up, down = _power_tables(max(CHUNK, high - low) + 1)
         sums = np.zeros(high - low + 1, np.uint64)
-        np.cumsum(_BYTE[data[low:high]] * up[:high - low], out=sums[1:])
+        symbols = _BYTE[data[low:high]] if data.dtype == np.uint8 else mix(data[low:high].astype(np.uint64) + np.uint64(1))
+        np.cumsum(symbols * up[:high - low], out=sums[1:])
         s, e = starts[first:last] - low, ends[first:last] - low
         out[first:last] = mix((sums[e] - sums[s]) * down[s] + (e - s).astype(np.uint64))
         first = last
     return out
 
 
-def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Words (runs without ASCII white space): their starts, ends, and for each text where its words begin."""
+def word_spans(data: np.ndarray, offsets: np.ndarray, breaks: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Words (runs without ``breaks``, ASCII white space): their starts, ends, and for each text where they begin."""
     if not len(data):
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(len(offsets), np.int64)
-    inside = ~_SPACE[data]
+    inside = ~breaks[data]
     head = inside.copy()
     head[1:] &= ~inside[:-1]
     tail = inside.copy()
@@ -64,9 +67,9 @@ def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     return starts, ends, np.searchsorted(starts, offsets)
 
 
-def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def word_hashes(data: np.ndarray, offsets: np.ndarray, breaks: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the words with A-Z in lower case, and for each text where its words begin."""
-    starts, ends, where = word_spans(data, offsets)
+    starts, ends, where = word_spans(data, offsets, breaks)
     return span_hashes(_LOWER[data], starts, ends), where
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -169,6 +170,12 @@ class ByteBpe:
         return np.diff(sums[np.searchsorted(starts, offsets)])
 
 
+@lru_cache(maxsize=1)
+def _tokenizer(path: str) -> ByteBpe:
+    """The tokenizer of this worker process, which goes on from task to task with what it remembers."""
+    return ByteBpe(path)
+
+
 def count_tokens(frame: DataFrame, tokenizer_path: str, limit: int = 512, key: str = "doc_id",
                  text: str = "text") -> DataFrame:
     """Per row: ``key``, ``n_bytes`` (UTF-8), ``n_tokens``, ``over_limit`` (more than ``limit`` tokens).
@@ -178,7 +185,7 @@ def count_tokens(frame: DataFrame, tokenizer_path: str, limit: int = 512, key: s
     give a row, and other columns are left out. Texts may be of any length: a task holds the pre-tokens of
     about 2 MB of text, or of one longer text. Pre-tokens are recognised by a 64-bit hash.
 
-    ``tokenizer_path`` is read once per task and must be at the same place on all machines.
+    ``tokenizer_path`` is read once per worker process and must be at the same place on all machines.
     """
     def work(batch: pa.RecordBatch, bpe: ByteBpe) -> dict:
         texts = batch.column(text).fill_null("")
@@ -200,4 +207,4 @@ def count_tokens(frame: DataFrame, tokenizer_path: str, limit: int = 512, key: s
 
     kind = frame.schema[key].dataType.simpleString()
     return map_text(frame.select(key, text), work, f"`{key}` {kind}, n_bytes long, n_tokens long, over_limit boolean",
-                    text, setup=lambda: ByteBpe(tokenizer_path))
+                    text, setup=lambda: _tokenizer(tokenizer_path))
