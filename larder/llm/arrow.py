@@ -64,6 +64,11 @@ def text_buffers(texts: pa.Array):
     return data[offsets[0]:offsets[-1]], offsets - offsets[0]
 
 
+def with_field(schema: T.StructType, name: str, kind: str) -> T.StructType:
+    """The schema with one more field of a type in DDL."""
+    return T.StructType([*schema.fields, T.StructField(name, T.StructType.fromDDL(f"x {kind}")[0].dataType)])
+
+
 def map_text(frame: DataFrame, work: Callable[[pa.RecordBatch], dict], schema: str | T.StructType,
              column: str = "text", setup: Callable[[], object] | None = None) -> DataFrame:
     """``mapInArrow`` over runs of rows of bounded text size.

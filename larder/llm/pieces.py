@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from sentencepiece import sentencepiece_model_pb2
 
-from larder.llm.arrow import map_text, prepare, text_buffers
+from larder.llm.arrow import map_text, prepare, text_buffers, with_field
 from larder.llm.ragged import gather, mix, span_hashes
 
 CACHE_SYMBOLS = 4_000_000  # code points of distinct segments whose pieces a task remembers
@@ -289,7 +289,7 @@ def encode_pieces(frame: DataFrame, model_path: str, text: str = "text", ids: st
         flat, begin = encoder.encode(batch.column(text))
         return dict(enumerate([*batch.columns, pa.ListArray.from_arrays(begin.astype(np.int32), flat)]))
 
-    schema = frame.schema.add(ids, "array<int>")
+    schema = with_field(frame.schema, ids, "array<int>")
     return map_text(frame, work, schema, text, setup=lambda: _encoder(model_path, model))
 
 
@@ -302,7 +302,7 @@ def decode_pieces(frame: DataFrame, model_path: str, ids: str = "piece_ids", out
     spark = prepare(frame.sparkSession)
     frame = frame.drop(out)
     decoder = spark.sparkContext.broadcast(Decoder(PieceModel(model_path)))
-    schema = frame.schema.add(out, "string")
+    schema = with_field(frame.schema, out, "string")
     arrow = to_arrow_schema(schema)
 
     def work(batches):

@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from larder.llm import (
-    decontamination, fuzzy_lines, language_id, near_vectors, ngram_join, pieces, secret_scan, token_counts,
+    decontamination, fuzzy_lines, language_id, near_vectors, ngram_join, pieces, secret_scan,
+    surrogates, token_counts,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -59,6 +60,12 @@ def op3_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontamination.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+@query
+def op4_surrogates(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return surrogates.replace_entities(docs, b"key of the check run")
+
+
 @query
 def op5_pieces(spark: SparkSession, folder: str) -> DataFrame:
     return pieces.round_trip(table(spark, folder, "documents"), public_tokenizers.path(PIECES))
