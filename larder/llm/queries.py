@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from larder.llm import (
     decontamination, fuzzy_lines, language_id, near_vectors, ngram_join, pieces, secret_scan,
-    surrogates, token_counts,
+    surrogates, token_counts, tool_links,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -71,6 +71,31 @@ def op5_pieces(spark: SparkSession, folder: str) -> DataFrame:
     return pieces.round_trip(table(spark, folder, "documents"), public_tokenizers.path(PIECES))
 
 
+#: The tool that the turns of the conversations are read as calls of.
+REPLY = {"type": "object", "required": ["text", "words"], "additionalProperties": False, "properties": {
+    "text": {"type": "string", "minLength": 1}, "words": {"type": "integer", "minimum": 3, "maximum": 60}, "after": {"type": "string"}}}
+
+
+@query
+def op6_tool_links(spark: SparkSession, folder: str) -> DataFrame:
+    """Every user turn is a call of a tool that replies, and refers to the call two turns before; the assistant's
+    next turn is its result."""
+    turns = table(spark, folder, "conversations")
+
+    def ident(back: int):
+        return F.concat_ws("-", F.col("conv_id").cast("string"), (F.col("turn") - back).cast("string"))
+
+    place = F.xxhash64("text").alias("place")
+    arguments = F.to_json(F.struct(
+        F.coalesce("text", F.lit("")).alias("text"), F.size(F.split("text", " ")).alias("words"),
+        F.when(F.col("turn") >= 2, F.struct(ident(2).alias("$ref"))).alias("after")))
+    calls = turns.filter("role = 'user'").select("conv_id", "turn", place, ident(0).alias("call_id"),
+                                                 F.lit("reply").alias("name"), arguments.alias("arguments"))
+    results = turns.filter("role = 'assistant'").select("conv_id", "turn", place, ident(1).alias("call_id"),
+                                                        F.col("text").alias("content"))
+    return tool_links.link_tool_calls(turns.filter("role = 'system'"), calls, results, {"reply": REPLY})
+
+
 @query
 def op7_fuzzy_lines(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
