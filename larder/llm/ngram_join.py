@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from larder.llm.arrow import map_text, prepare, text_buffers
 from larder.llm.components import connected_components
 from larder.llm.ragged import distinct_per_row, gather, mix, ngram_hashes, word_hashes
+from larder.llm.sizes import small
 from larder.session import settle
 
 BUCKET_ENTRIES = 1_500_000  # n-grams that one reduce group holds
@@ -61,9 +62,10 @@ def describe(frame: DataFrame, n: int, key: str, text: str) -> DataFrame:
 def shared_grams(frame: DataFrame, n: int, text: str, buckets: int, hot: np.ndarray) -> DataFrame:
     """Per different set: its n-grams that other sets hold too, and its rare-first prefix.
 
-    Rows (set_id, size, first, prefix, shared): ``shared`` packs the n-grams held by two sets or more; those held
-    by one set only come first in the rare-first order and never match, so the prefix lists only what follows
-    them, from position ``first`` on. Sets whose whole prefix is unshared cannot have a partner and are left out.
+    Rows (set_id, size, alone, central, prefix, shared): ``shared`` packs the n-grams held by two sets or more; the
+    ``alone`` others come first in the rare-first order and never match, so the prefix lists only what follows
+    them. Sets whose whole prefix is unshared cannot have a partner and are left out. ``central`` says how common
+    a set's n-grams are; of a group of variants, it is highest for the one the others derive from.
 
     The n-grams travel as packed arrays: slices of texts send them to hash buckets, where they are counted, and
     those that are shared go back to a bucket of their set. Copies are dropped on the way; hot n-grams take no
@@ -109,25 +111,27 @@ def shared_grams(frame: DataFrame, n: int, text: str, buckets: int, hot: np.ndar
     def prefixes(table: pa.Table) -> pa.Table:
         ids, sizes, grams, counts = _entries(table)
         order = np.lexsort((grams, counts, ids))
-        ids, sizes, grams = ids[order], sizes[order], grams[order]
+        ids, sizes, grams, counts = ids[order], sizes[order], grams[order], counts[order]
         heads = np.flatnonzero(np.concatenate(([True], ids[1:] != ids[:-1])))
         runs = np.diff(np.append(heads, len(ids)))
         size = sizes[heads]
         alone = size - runs
         take = np.minimum(runs, prefix_length(size) - alone)
-        out = {"set_id": [], "size": [], "first": [], "prefix": [], "shared": []}
+        central = np.add.reduceat(np.log2(counts), heads) / size
+        out = {"set_id": [], "size": [], "alone": [], "central": [], "prefix": [], "shared": []}
         for k in np.flatnonzero(take > 0).tolist():
             own = grams[heads[k]:heads[k] + runs[k]]
-            for name, value in zip(out, (ids[heads[k]], size[k], alone[k] + 1, own[:take[k]].astype(np.int64), _pack(np.sort(own)))):
+            for name, value in zip(out, (ids[heads[k]], size[k], alone[k], central[k], own[:take[k]].astype(np.int64), _pack(np.sort(own)))):
                 out[name].append(value)
-        return pa.table(out, pa.schema([("set_id", pa.int64()), ("size", pa.int64()), ("first", pa.int64()),
-                                        ("prefix", pa.list_(pa.int64())), ("shared", pa.binary())]))
+        return pa.table(out, pa.schema([
+            ("set_id", pa.int64()), ("size", pa.int64()), ("alone", pa.int64()), ("central", pa.float64()),
+            ("prefix", pa.list_(pa.int64())), ("shared", pa.binary())]))
 
     ddl = "bucket long, ids binary, sizes binary, places binary, grams binary, counts binary"
     schema = pa.schema([("bucket", pa.int64()), *[(c, pa.binary()) for c in ("ids", "sizes", "places", "grams", "counts")]])
     return (map_text(frame.select(text), send, ddl, text)
             .groupBy("bucket").applyInArrow(count, ddl)
-            .groupBy("bucket").applyInArrow(prefixes, "set_id long, size long, first long, prefix array<long>, shared binary"))
+            .groupBy("bucket").applyInArrow(prefixes, "set_id long, size long, alone long, central double, prefix array<long>, shared binary"))
 
 
 def prefix_length(size: np.ndarray) -> np.ndarray:
@@ -167,7 +171,7 @@ def _entries(table: pa.Table) -> tuple[np.ndarray, ...]:
 
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """Those of the different pairs (a, b) whose sets have a Jaccard similarity of 0.75 or more."""
-    spark = prepare(pairs.sparkSession)
+    prepare(pairs.sparkSession)
     side = sets.select("set_id", "size", "shared")
 
     def work(batches):
@@ -186,32 +190,34 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
     joined = (pairs.join(side.select(F.col("set_id").alias("a"), F.col("size").alias("m"), F.col("shared").alias("one")), "a")
               .join(side.select(F.col("set_id").alias("b"), F.col("size").alias("n"), F.col("shared").alias("two")), "b"))
-    del spark
     return joined.select("a", "b", "one", "two", "m", "n").mapInArrow(work, "a long, b long")
 
 
-def _similar_length(m, n):
-    return (F.lit(4) * F.least(m, n)) >= (F.lit(3) * F.greatest(m, n))
+def _can_link(m, n, alone_m, alone_n, i, j):
+    """Length and positional filter for two sets of sizes m and n that meet on the i-th and j-th of their shared
+    n-grams, as if it was their first common one: 3/7 (m + n) must be common, and no more can be than it and the
+    smaller rest. A pair that links passes at its first common n-gram."""
+    most = 1 + F.least(m - alone_m - i, n - alone_n - j)
+    return (4 * F.least(m, n) >= 3 * F.greatest(m, n)) & (7 * most >= 3 * (m + n))
 
 
 def set_links(sets: DataFrame) -> DataFrame:
     """Edges (a, b) between sets, enough to connect whatever is connected by links of 0.75 or more.
 
-    Sets meet on prefix n-grams. Round one compares each set with one set only, the first holder that most of
-    its prefix n-grams name, which joins the members of large groups without comparing them all. Round two
+    Sets meet on prefix n-grams. Round one compares each set with one set only, the most central holder that most
+    of its prefix n-grams name, which joins the members of large groups without comparing them all. Round two
     takes the pairs on any n-gram whose sets are in different components so far, with length and positional
     filters, and verifies each once. So no pair that could join two components goes unseen.
     """
-    entries = settle(sets.select("set_id", "size", F.posexplode("prefix").alias("place", "gram"), "first")
-                     .select("gram", "set_id", "size", (F.col("first") + F.col("place")).alias("position")), "prefixes")
-    heads = (entries.groupBy("gram").agg(F.min_by("set_id", F.struct("size", "set_id")).alias("head"), F.min("size").alias("head_size"),
-                                         F.count(F.lit(1)).alias("n"))
+    entries = settle(sets.select("set_id", "size", "alone", "central", F.posexplode("prefix").alias("i", "gram"))
+                     .withColumn("i", F.col("i") + 1), "prefixes")
+    heads = (entries.groupBy("gram").agg(F.max(F.struct("central", "set_id", "size", "alone", "i")).alias("head"), F.count(F.lit(1)).alias("n"))
              .filter("n > 1").drop("n"))
-    votes = (entries.join(heads, "gram").filter("set_id != head")
-             .filter(_similar_length(F.col("size"), F.col("head_size")))
-             .groupBy("set_id", "head").agg(F.count(F.lit(1)).alias("n")))
-    star = (votes.groupBy("set_id").agg(F.max_by("head", F.struct("n", "head")).alias("head"))
-            .select(F.least("set_id", "head").alias("a"), F.greatest("set_id", "head").alias("b")).distinct())
+    votes = (entries.join(heads, "gram").filter("set_id != head.set_id")
+             .filter(_can_link(F.col("size"), F.col("head.size"), F.col("alone"), F.col("head.alone"), F.col("i"), F.col("head.i")))
+             .groupBy("set_id", F.col("head.set_id").alias("head")).agg(F.count(F.lit(1)).alias("n"), F.max("head.central").alias("central")))
+    star = (votes.groupBy("set_id").agg(F.max(F.struct("n", "central", "head")).alias("best"))
+            .select(F.least("set_id", "best.head").alias("a"), F.greatest("set_id", "best.head").alias("b")).distinct())
     first = settle(verified(star, sets), "links")
     components = connected_components(first)
 
@@ -221,24 +227,15 @@ def set_links(sets: DataFrame) -> DataFrame:
              .groupBy("gram").agg(F.max_by("component", F.struct("n", "component")).alias("main"), F.count(F.lit(1)).alias("n"))
              .filter("n > 1").drop("n"))
     mixed_rows = placed.join(mixed, "gram")
-    left = mixed_rows.filter("component != main").select(
-        "gram", *[F.col(c).alias(f"{c}_a") for c in ("set_id", "size", "position", "component")])
-    right = mixed_rows.select(
-        "gram", "main", *[F.col(c).alias(f"{c}_b") for c in ("set_id", "size", "position", "component")])
+    fields = ("set_id", "size", "alone", "i", "component")
+    left = mixed_rows.filter("component != main").select("gram", *[F.col(c).alias(f"{c}_a") for c in fields])
+    right = mixed_rows.select("gram", "main", *[F.col(c).alias(f"{c}_b") for c in fields])
     met = left.join(right, "gram").filter(
-        (F.col("component_a") != F.col("component_b")) & _similar_length(F.col("size_a"), F.col("size_b"))
-        & ((F.col("component_b") == F.col("main")) | (F.col("set_id_a") < F.col("set_id_b"))))
-    # a pair's ends in ascending order; positions of the last shared n-gram, and how many are shared up to there
-    swap = F.col("set_id_a") > F.col("set_id_b")
-    ends = [F.when(swap, F.col(f"{c}_{y}")).otherwise(F.col(f"{c}_{x}")).alias(name)
-            for name, c, x, y in (("a", "set_id", "a", "b"), ("b", "set_id", "b", "a"), ("m", "size", "a", "b"),
-                                  ("n", "size", "b", "a"), ("i", "position", "a", "b"), ("j", "position", "b", "a"))]
-    counted = met.select(*ends).groupBy("a", "b").agg(
-        F.count(F.lit(1)).alias("common"), F.max("i").alias("i"), F.max("j").alias("j"),
-        F.first("m").alias("m"), F.first("n").alias("n"))
-    possible = counted.filter(7 * (F.col("common") + F.least(F.col("m") - F.col("i"), F.col("n") - F.col("j")))
-                              >= 3 * (F.col("m") + F.col("n")))
-    second = settle(verified(settle(possible.select("a", "b"), "candidates"), sets), "links")
+        (F.col("component_a") != F.col("component_b"))
+        & ((F.col("component_b") == F.col("main")) | (F.col("set_id_a") < F.col("set_id_b")))
+        & _can_link(*[F.col(f"{c}_{side}") for c in ("size", "alone", "i") for side in ("a", "b")]))
+    possible = met.select(F.least("set_id_a", "set_id_b").alias("a"), F.greatest("set_id_a", "set_id_b").alias("b")).distinct()
+    second = settle(verified(settle(possible, "candidates"), sets), "links")
     return first.unionAll(second)
 
 
@@ -267,3 +264,17 @@ def ngram_components(frame: DataFrame, n: int = 5, key: str = "doc_id", text: st
     smallest = whole.groupBy("_class").agg(F.min(key).alias("_least"))
     return whole.join(smallest, "_class").select(
         key, F.col("size").alias("n_shingles"), F.when(F.col("size") > 0, F.col("_least")).otherwise(F.col(key)).alias("component_id"))
+
+
+def keep_one(frame: DataFrame, n: int = 5, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``frame``, all columns, of which one stays per component of ``ngram_components``.
+
+    The row with the smallest key stays (a null key counts as the smallest), and of rows with that key the one
+    that comes first in the table. Rows without words are in no component and all stay.
+    """
+    row = "__row"
+    marked = settle(frame.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    names = F.struct(F.col(key).alias("key"), F.col(row).alias("row")).alias("key")
+    found = ngram_components(marked.select(names, F.col(text).alias("text")), n, "key", "text")
+    gone = settle(found.filter("n_shingles > 0 AND NOT (key <=> component_id)").select(F.col("key.row").alias(row)), "gone")
+    return marked.join(small(gone), row, "left_anti").drop(row)
