@@ -12,7 +12,9 @@ from larder.llm import (
     decontamination, fuzzy_lines, language_id, near_vectors, ngram_join, pieces, secret_scan,
     surrogates, token_counts, tool_links,
 )
+from larder.llm.oracles import ORACLES
 
+__all__ = ["ORACLES", "QUERIES"]
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 BYTE_BPE = "byte_bpe_50k.json"
 PIECES = "piece_bpe_32k.model"
@@ -115,6 +117,3 @@ def op9_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op10_near_vectors(spark: SparkSession, folder: str) -> DataFrame:
     return near_vectors.vector_links(table(spark, folder, "embeddings"))
-
-
-ORACLES: dict[str, str] = {}
