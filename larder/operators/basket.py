@@ -9,8 +9,6 @@ from pyspark.sql import functions as F
 from larder.functions.columns import one_row
 from larder.session import settle
 
-MAX_ITEMSET = 20  # a rule set doubles with every item; longer itemsets are refused, not cut
-
 
 def basket_sizes(lines: DataFrame) -> DataFrame:
     """Completed lines per order."""
@@ -73,28 +71,26 @@ def _mine(pairs: DataFrame, n_baskets: Column, support: float) -> DataFrame:
         F.array_sort("items").alias("items"), F.col("freq"), (F.col("freq") / n_baskets).alias("support")))
 
 
-def association_rules(itemsets: DataFrame, min_lift: float = 1.2, max_len: int | None = None) -> DataFrame:
+def association_rules(itemsets: DataFrame, min_lift: float = 1.2) -> DataFrame:
     """Every split of every itemset into antecedent and consequent, with support, confidence, lift.
 
-    An itemset of k items is one row that expands to 2^k - 2 subset masks; the supports of
-    the two sides are looked up by joins on the sorted item arrays.
+    Splits are made level by level: each level takes one item out of the antecedents of the level before and keeps
+    what is a known itemset, as every subset of a frequent itemset is. Itemsets may be of any size; a row holds one
+    split. Lift does not fall steadily along the levels, so it only filters the finished rules.
     """
-    sized = itemsets.filter(F.size("items") > 1)
-    if max_len is not None:
-        sized = sized.filter(F.size("items") <= max_len)
-    guarded = sized.withColumn("items", F.when(F.size("items") <= MAX_ITEMSET, F.col("items")).otherwise(
-        F.raise_error(F.lit(f"itemset longer than {MAX_ITEMSET}; pass max_len"))))
-    def bit(position: Column) -> Column:
-        return F.call_function("shiftleft", F.lit(1).cast("bigint"), position)
-    split = guarded.withColumn(
-        "mask", F.explode(F.sequence(F.lit(1).cast("bigint"), bit(F.size("items")) - 2)))
-
-    def side(chosen: bool) -> Column:
-        return F.filter("items", lambda _, i: (F.col("mask").bitwiseAND(bit(i)) != 0) == F.lit(chosen))
-    split = split.select("support", side(True).alias("antecedents"), side(False).alias("consequents"))
     known = itemsets.select("items", "support")
-    return (split
-            .join(known.select(F.col("items").alias("antecedents"), F.col("support").alias("s_a")), "antecedents")
+    sides = known.select(F.col("items").alias("antecedents"), F.col("support").alias("s_a"))
+    level = itemsets.filter(F.size("items") > 1).select("items", "support", F.col("items").alias("antecedents"))
+    splits = None
+    while True:
+        smaller = (level.filter(F.size("antecedents") > 1)
+                   .select("items", "support", F.explode(F.transform("antecedents", lambda x: F.array_remove("antecedents", x)))
+                           .alias("antecedents")).distinct())
+        level = settle(smaller.join(sides, "antecedents").select("items", "support", "antecedents", "s_a"), "splits")
+        splits = level if splits is None else splits.unionAll(level)
+        if level.isEmpty():
+            break
+    return (splits.withColumn("consequents", F.array_except("items", "antecedents"))
             .join(known.select(F.col("items").alias("consequents"), F.col("support").alias("s_c")), "consequents")
             .select("antecedents", "consequents", "support",
                     (F.col("support") / F.col("s_a")).alias("confidence"),

@@ -162,22 +162,32 @@ def rows_without_partner(left: DataFrame, right: DataFrame, keys: list[str]) ->
 def price_as_of(dated_lines: DataFrame, prices: DataFrame, date_column: str = "order_date") -> DataFrame:
     """Each line with the listed price valid on its date and whether the charged price equals it.
 
-    The price history of an item is folded into one sorted array (one entry per effective
-    date), so the interval lookup is a plain equality join on the item and never multiplies
-    lines. Where intervals overlap, the one that started last applies.
+    Price intervals are cut into the months they touch, so that the lookup is an equality join on item and month
+    over the distinct days an item was sold. An interval without end is open; where intervals overlap, the one that
+    started last applies (of equal starts, the higher price); one that ends before it starts never applies.
     """
-    latest = prices.groupBy("item_id", "effective_from").agg(
-        F.max(F.struct("price", "effective_to")).alias("entry"))
-    history = latest.groupBy("item_id").agg(F.sort_array(F.collect_list(F.struct(
-        "effective_from", F.col("entry.effective_to").alias("effective_to"),
-        F.col("entry.price").alias("price")))).alias("history"))
     date = F.col(date_column)
-    valid = F.filter("history", lambda p: (p["effective_from"] <= date)
-                     & F.coalesce(p["effective_to"] >= date, F.lit(True)))
-    return (dated_lines.join(history, "item_id", "left")
-            .withColumn("listed_price", F.try_element_at(valid, F.lit(-1))["price"])
-            .withColumn("price_matches", F.col("unit_price") == F.col("listed_price"))
-            .drop("history"))
+    month = F.trunc(date, "month").alias("_month")
+    days = dated_lines.select("item_id", date).distinct()
+    last = days.agg(F.max(date).alias("value")).scalar()
+    until = F.coalesce("effective_to", F.greatest(last, F.col("effective_from")))
+    months = prices.filter(F.col("effective_from") <= until).select(
+        "item_id", "price", "effective_from", until.alias("_until"),
+        F.explode(F.sequence(F.trunc("effective_from", "month"), until, F.expr("interval 1 month"))).alias("_month"))
+    listed = (days.withColumn("_month", month).join(months, ["item_id", "_month"])
+              .filter((F.col("effective_from") <= date) & (date <= F.col("_until")))
+              .groupBy("item_id", date).agg(F.max_by("price", F.struct("effective_from", "price")).alias("listed_price")))
+    return (dated_lines.join(listed, ["item_id", date_column], "left").select(*dated_lines.columns, "listed_price")
+            .withColumn("price_matches", F.col("unit_price") == F.col("listed_price")))
+
+
+def _promotion_days(orders: DataFrame, promotions: DataFrame) -> DataFrame:
+    """Promotions with a row per day they run. Without an end they run until the last order, and those that end
+    before they start never run."""
+    last = orders.agg(F.max("order_date").alias("value")).scalar()
+    until = F.coalesce("end_date", F.greatest(last, F.col("start_date")))
+    return (promotions.filter(F.col("start_date") <= until).withColumnRenamed("location_id", "promo_location")
+            .withColumn("order_date", F.explode(F.sequence("start_date", until))))
 
 
 def active_promotions(orders: DataFrame, promotions: DataFrame) -> DataFrame:
@@ -185,14 +195,22 @@ def active_promotions(orders: DataFrame, promotions: DataFrame) -> DataFrame:
 
     A promotion is expanded to its days, which turns the date interval into an equality.
     """
-    days = promotions.select(
-        "promo_id", "discount_pct", F.col("location_id").alias("promo_location"),
-        F.explode(F.sequence("start_date", "end_date")).alias("order_date"))
+    days = _promotion_days(orders, promotions).select("promo_id", "discount_pct", "promo_location", "order_date")
     here = F.col("promo_location").isin("ALL") | (F.col("promo_location") == F.col("location_id"))
     return (orders.select("order_id", "location_id", "order_date").join(days, "order_date")
             .filter(here).select("order_id", "location_id", "order_date", "promo_id", "discount_pct"))
 
 
+def active_promotion_items(lines: DataFrame, orders: DataFrame, items: DataFrame, promotions: DataFrame) -> DataFrame:
+    """Lines with every promotion that runs on their day, at their place, and covers their item, whether used or not."""
+    terms = promotions.select("promo_id", "scope", "applicable_items", F.col("category_id").alias("promo_category"))
+    running = active_promotions(orders, promotions).join(terms, "promo_id")
+    return (lines.select("order_id", "item_id", "line_no").join(items.select("item_id", "category_id"), "item_id", "left")
+            .join(running, "order_id")
+            .filter(F.coalesce(_covers(), F.lit(False)))
+            .select("order_id", "item_id", "line_no", "promo_id", "scope", "discount_pct"))
+
+
 def promotion_items(promotions: DataFrame) -> DataFrame:
     """The item list of item-scoped promotions, one row per promotion and item id (as text)."""
     return (promotions.filter(F.col("scope") == "ITEM")

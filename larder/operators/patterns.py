@@ -240,8 +240,9 @@ def burst(rows: DataFrame, day: str, window: tuple[str, str], total_days: int,
         (F.count(F.lit(1)) * _length(window) / total_days).alias("expected"))
 
 
-def price_events(prices: DataFrame, min_rise: float = 0.12) -> DataFrame:
-    """Price rises above ``min_rise`` against the previous positive price of the item."""
+def price_events(prices: DataFrame, min_rise: float = 0.12, items: list | None = None) -> DataFrame:
+    """Price rises above ``min_rise`` against the previous positive price of the item, of all or the named items."""
+    prices = prices if items is None else prices.filter(F.col("item_id").isin(items))
     history = Window.partitionBy("item_id").orderBy("effective_from")
     return (prices.filter(F.col("price") > 0)
             .withColumn("rise", F.col("price") / F.lag("price").over(history) - 1)

@@ -37,8 +37,11 @@ def duplicate_counts(tables: dict[str, DataFrame]) -> DataFrame:
         exact_duplicates(f).select(F.lit(n).alias("table_name"), "n_duplicates") for n, f in tables.items()])
 
 
-def null_profile(frame: DataFrame, table_name: str) -> DataFrame:
-    """Columns with missing values: count and share of rows in percent. One pass for all columns."""
+def null_profile(frame: DataFrame, table_name: str, complete: bool = False) -> DataFrame:
+    """Columns with missing values: count and share of rows in percent. One pass for all columns.
+
+    With ``complete`` columns without missing values are listed too.
+    """
     measured = frame.agg(
         F.count(F.lit(1)).alias("total"),
         *[count_true(F.col(c).isNull()).alias(f"m{i}") for i, c in enumerate(frame.columns)])
@@ -46,7 +49,7 @@ def null_profile(frame: DataFrame, table_name: str) -> DataFrame:
         F.struct(F.lit(c).alias("column_name"), F.col(f"m{i}").alias("n_missing"))
         for i, c in enumerate(frame.columns)])
     return (measured.select(F.lit(table_name).alias("table_name"), "total", F.inline(entries))
-            .filter(F.col("n_missing") > 0)
+            .filter(F.lit(complete) | (F.col("n_missing") > 0))
             .select("table_name", "column_name", "n_missing",
                     F.round(F.col("n_missing") * F.lit(100).cast("decimal(3,0)") / F.col("total"), 2)
                     .cast("double").alias("pct_missing")))

@@ -418,7 +418,7 @@ CHECKS = union([
           "sum(n) FILTER (d >= 6) / 2", "avg(n) FILTER (d <= 4)", """FROM (SELECT isodow(day) AS d, count(*) AS n
           FROM st_checked_orders WHERE status = 'Completed' GROUP BY isodow(day)) AS q"""),
     check(15, "PRICE-SENSITIVE items", "count(*) > 0 AND median(c) < -0.15", "median(c)", "count(*)",
-          f"FROM (SELECT {rnd('change', 6)} AS c FROM st_study) AS q"),
+          f"FROM (SELECT {rnd('change', 6)} AS c FROM st_study WHERE item_id IN ({', '.join(map(str, S.price_sensitive))})) AS q"),
     check(16, "MISLEADING promotion (sales up, profit down)", f"count(*) > 0 AND {money('profit')} < 0",
           money("profit"), "sum(quantity)", f"""FROM st_checked WHERE item_id = {S.cases['loss_making_popular']}
           AND promo_id IN ({', '.join(repr(p) for p in S.promo_traps)})"""),
@@ -651,6 +651,18 @@ def _queries() -> dict[str, str]:
     covered = """CASE scope WHEN 'ITEM' THEN coalesce(list_contains(string_split(applicable_items, '|'),
         cast(i.item_id AS varchar)), false) WHEN 'CATEGORY' THEN coalesce(m.category_id = p.category_id, false)
         ELSE true END"""
+    q["promo_active_items"] = f"""SELECT i.order_id, i.item_id, line_no, p.promo_id, scope, p.discount_pct
+        FROM fx_order_items AS i JOIN fx_orders AS o ON i.order_id = o.order_id
+        JOIN fx_promotions AS p ON order_date BETWEEN start_date AND end_date AND p.location_id IN ('ALL', o.location_id)
+        LEFT JOIN fx_menu_items AS m ON i.item_id = m.item_id WHERE {covered}"""
+    bits = """list_prepend(4294967295, flatten(list_transform(range(1, length(k) + 1),
+        lambda i: [ascii(substr(k, i, 1)), -1, -1, -1, -1, -1, -1, -1, -1])))"""  # each byte, then eight shifts
+    q["split_bucket"] = f"""SELECT item_id, location_id, cast(bucket AS integer) AS bucket,
+          CASE WHEN bucket < 60 THEN 'train' WHEN bucket < 80 THEN 'validation' ELSE 'test' END AS split
+        FROM (SELECT item_id, location_id, xor(list_reduce({bits}, lambda c, x: CASE WHEN x >= 0 THEN xor(c, x)
+          ELSE xor(c >> 1, (c & 1) * 3988292384) END), 4294967295) % 100 AS bucket
+          FROM (SELECT DISTINCT item_id, location_id, cast(item_id AS varchar) || '|' || location_id AS k
+                FROM fx_stock_moves) AS d) AS b"""
     q["promo_coverage"] = f"""SELECT i.order_id, i.item_id, line_no, o.promo_id, {covered} AS covered,
             CASE WHEN {covered} THEN p.discount_pct ELSE 0.0 END AS granted_discount
         FROM fx_order_items AS i JOIN fx_orders AS o ON i.order_id = o.order_id
@@ -673,7 +685,7 @@ def _queries() -> dict[str, str]:
     q["null_sanity"] = "SELECT * FROM (" + union(
         f"SELECT 'item_features' AS table_name, '{c.strip()}' AS column_name, count(*) FILTER ({c} IS NULL) AS n_missing, "
         f"{rnd(f'count(*) FILTER ({c} IS NULL) * 100.0 / count(*)', 2)} AS pct_missing FROM st_items"
-        for c in ITEM_COLUMNS.split(",")) + ") AS n WHERE n_missing > 0"
+        for c in ITEM_COLUMNS.split(",")) + ") AS n"
     q["waste_ratio_item"] = "SELECT * FROM st_waste_item"
     q["waste_ratio_location"] = f"""SELECT location_id, {rnd('lost / made', 6)} AS waste_ratio FROM
         (SELECT location_id, sum(quantity_wasted) AS lost FROM fx_wastage GROUP BY location_id) AS w JOIN

@@ -232,6 +232,11 @@ def promo_active(s):
     return joins.active_promotions(s.orders, s.promotions)
 
 
+@query
+def promo_active_items(s):
+    return joins.active_promotion_items(s.order_items, s.orders, s.items, s.promotions)
+
+
 @query
 def promo_coverage(s):
     return joins.promotion_coverage(s.order_items, s.orders, s.items, s.promotions)
@@ -274,7 +279,7 @@ def coverage(s):
 
 @query
 def null_sanity(s):
-    return quality.null_profile(s.item_features, "item_features")
+    return quality.null_profile(s.item_features, "item_features", complete=True)
 
 
 @query
@@ -735,7 +740,8 @@ def pattern_item_profile(s):
 def _pattern_groups(s: Sales) -> list[DataFrame]:
     profile = patterns.item_profile(s.checked_lines, s.view("raw_ratings"), s.checked_stock, s.checked_waste)
     waste = features.observed_waste(s.checked_stock, s.checked_waste, "item_id")
-    study = patterns.event_study(patterns.price_events(s.prices, SETTINGS.min_price_rise), s.checked_lines,
+    study = patterns.event_study(patterns.price_events(
+        s.prices, SETTINGS.min_price_rise, SETTINGS.price_sensitive), s.checked_lines,
                                  SETTINGS.study_days, SETTINGS.min_units_before)
     defects = quality.defect_summary(s.view("raw_orders"), s.view("raw_order_items"), s.view("raw_ratings"),
                                      s.view("raw_wastage"))

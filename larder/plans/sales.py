@@ -23,7 +23,8 @@ SETTINGS = patterns.PatternSettings(
     collapse_window=("1998-11-03", "1998-11-23"), collapse_reference=("1998-10-06", "1998-10-26"),
     rating_drop_prefix="small", rating_drop_window=("1998-08-04", "1998-08-17"),
     burst_item_name="small ring", burst_window=("1998-05-11", "1998-05-16"), waste_location="L15",
-    min_units_before=10)
+    min_units_before=10,
+    price_sensitive=[5, 18, 31, 44, 57, 70, 83, 96, 109, 122])
 
 
 class Sales:

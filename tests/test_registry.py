@@ -10,11 +10,11 @@ from larder.plans import oracles, queries  # noqa: E402
 from larder.plans.sales import Sales  # noqa: E402
 
 FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
-NO_SQL = {"split_bucket", "waste_risk_scores", "waste_risk_importance", "recommendations_with_risk",
+NO_SQL = {"waste_risk_scores", "waste_risk_importance", "recommendations_with_risk",
           "waste_figures_with_risk"}
 CHECKED = ["classify_exact", "clean_summary", "join_audit_raw", "item_features", "rfm_scores", "association_rules",
            "forecast_rows", "recommendations", "near_duplicate_orders", "pattern_checks", "named_segments",
-           "price_as_of", "scenario_price"]
+           "price_as_of", "scenario_price", "promo_active_items", "null_sanity", "split_bucket"]
 
 
 @pytest.fixture
