@@ -86,7 +86,7 @@ def ngram_hashes(words: np.ndarray, where: np.ndarray, n: int) -> tuple[np.ndarr
     out = np.zeros(len(first), np.uint64)
     padded = np.concatenate((words, np.zeros(n, np.uint64)))
     for k in range(n):
-        out = out * _BASE + np.where(k < size, padded[first + k], np.uint64(0))
+        out = np.where(k < size, out * _BASE + padded[first + k], out)  # the same for a short text at any n
     return mix(out + size.astype(np.uint64)), begin
 
 
