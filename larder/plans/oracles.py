@@ -5,6 +5,8 @@
 
 from __future__ import annotations
 
+import re
+
 from larder.functions.fixed import (
     BAD_DISCOUNT, BAD_PRICE, BAD_QUANTITY, BAD_RATING, EXACT_DUPLICATES, IMPLAUSIBLE_DATE, IMPOSSIBLE_WASTE,
     INVALID_BRANCH, INVALID_LOCATION, MISSING_CUSTOMER, MISSING_ITEM, NEGATIVE_STOCK, ORPHAN_LINES, ORPHAN_RATING,
@@ -608,6 +610,10 @@ def _queries() -> dict[str, str]:
         FROM st_audit_order_items AS i JOIN st_audit_orders AS o ON i.order_id = o.order_id AND o.failed IS NULL
         WHERE i.failed IS NULL AND lower(trim(status)) = 'completed' GROUP BY item_id"""
 
+    q["chain_item_features"] = "SELECT " + ITEM_COLUMNS + " FROM st_chain_items"
+    q["chain_customer_rfm"] = "SELECT customer_id, frequency, monetary, recency_days FROM st_chain_rfm"
+    q["chain_labels"] = "SELECT item_id, total_quantity_sold, profit_margin, python_label FROM st_chain_exact"
+
     q["join_wide"] = """SELECT i.*, o.customer_id, o.location_id, cast(order_datetime AS varchar) AS order_datetime,
             cast(order_date AS varchar) AS order_date, channel, payment_method, status, item_name, m.category_id,
             base_cost, is_active, cast(introduced_date AS varchar) AS introduced_date, category_name,
@@ -894,3 +900,15 @@ STEPS["st_fingers"] = """SELECT order_id, customer_id, location_id, order_dateti
 def build() -> dict[str, str]:
     """One SQL text per query that SQL can express; base tables are views named as they are."""
     return {name: with_clause(sql, steps=STEPS) for name, sql in _queries().items()}
+
+# the same steps over the cleaned tables
+_CLEANED = {"orders": f"""SELECT order_id, customer_id, location_id, cast(order_date AS date) AS order_date,
+                {initcap('channel')} AS channel, payment_method, {initcap('status')} AS status, promo_id
+                FROM st_audit_orders WHERE failed IS NULL""",
+            **{t: f"SELECT * FROM st_audit_{t} WHERE failed IS NULL" for t in ("order_items", "ratings", "wastage", "inventory")}}
+STEPS.update({f"st_chain_{t}": sql for t, sql in _CLEANED.items()})
+_ON_CLEANED = {"fx_stock_moves": "st_chain_inventory", **{f"fx_{t}": f"st_chain_{t}" for t in _CLEANED if t != "inventory"}}
+_CHAINED = [n for n in STEPS if n in ("st_sales", "st_named", "st_waste_item", "st_sold", "st_rated", "st_items", "st_rfm", "st_exact")]
+for _name in _CHAINED:
+    STEPS[_name.replace("st_", "st_chain_", 1)] = re.sub(
+        r"\b(fx|st)_\w+", lambda m: m[0].replace("st_", "st_chain_", 1) if m[0] in _CHAINED else _ON_CLEANED.get(m[0], m[0]), STEPS[_name])

@@ -19,7 +19,7 @@ from larder.operators import (
     basket, business, classify, cleaning, features, forecast, joins, patterns, quality, recommend, risk, scenarios,
     segments,
 )
-from larder.plans.sales import SETTINGS, Sales
+from larder.plans.sales import SETTINGS, CleanedSales, Sales
 from larder.session import scratch_root, settle
 from larder.sources import io
 from larder.sources.io import union_all
@@ -168,6 +168,27 @@ def cleaned_item_revenue(s):
                     "weekend_share"))
 
 
+def _chain(s: Sales) -> CleanedSales:
+    return CleanedSales(s.tables.raw(), first_date="1990-01-01", last_date="2026-09-28")
+
+
+@query
+def chain_item_features(s):
+    """Item features from raw tables through cleaning and joining."""
+    return io.require_contract(_chain(s).item_features, "item_features")
+
+
+@query
+def chain_customer_rfm(s):
+    return io.require_contract(_chain(s).rfm, "customer_rfm")
+
+
+@query
+def chain_labels(s):
+    """Exact-median labels of the items, from raw tables."""
+    return _chain(s).labelled.select("item_id", "total_quantity_sold", "profit_margin", "python_label")
+
+
 # --- joins
 
 @query

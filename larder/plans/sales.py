@@ -181,7 +181,7 @@ class Sales:
 
     def recommendations(self, risk: DataFrame | None = None) -> DataFrame:
         return recommend.combine([
-            *recommend.item_rules(settle(self.labelled), risk), recommend.bundle_rule(self.rules),
+            *recommend.item_rules(self.labelled, risk), recommend.bundle_rule(self.rules),
             recommend.stock_rule(self.forecast), recommend.segment_rules(self.segmented)])
 
     # --- inputs of the pattern checks, measured on the raw tables
@@ -211,3 +211,62 @@ class Sales:
         """Prepared units per item and known location."""
         valid = self.view("raw_inventory").join(self.locations.select("location_id"), "location_id", "left_semi")
         return settle(valid.groupBy("item_id", "location_id").agg(F.sum("prepared_qty").alias("prepared_qty")))
+
+
+class CleanedSales(Sales):
+    """The same results from eleven raw tables, whatever source they come from: cleaned, joined, then aggregated.
+
+    ``raw`` maps the table names to frames, read by ``larder.sources.io.read_all_raw`` from CSV or from anywhere
+    else. Dates may be text. The cleaned orders and lines are settled, as every later step reads them.
+    """
+
+    def __init__(self, raw: dict[str, DataFrame], **dates: str):
+        self.cleaning = SalesCleaning(raw, **dates)
+
+    def _dated(self, table: str, *columns: str) -> DataFrame:
+        frame = self.cleaning.clean(table)
+        return frame.withColumns({c: F.to_date(c) for c in columns if c in frame.columns})
+
+    @cached_property
+    def orders(self) -> DataFrame:
+        return settle(self._dated("orders", "order_date"), "clean-orders")
+
+    @cached_property
+    def order_items(self) -> DataFrame:
+        return settle(self.cleaning.clean("order_items"), "clean-lines")
+
+    @cached_property
+    def items(self) -> DataFrame:
+        return self._dated("menu_items", "introduced_date")
+
+    @cached_property
+    def categories(self) -> DataFrame:
+        return self.cleaning.clean("menu_categories")
+
+    @cached_property
+    def customers(self) -> DataFrame:
+        return self._dated("customers", "signup_date")
+
+    @cached_property
+    def locations(self) -> DataFrame:
+        return self.cleaning.clean("restaurants")
+
+    @cached_property
+    def ratings(self) -> DataFrame:
+        return self._dated("ratings", "rating_date")
+
+    @cached_property
+    def wastage(self) -> DataFrame:
+        return self._dated("wastage", "waste_date")
+
+    @cached_property
+    def stock_moves(self) -> DataFrame:
+        return self._dated("inventory", "week_start")
+
+    @cached_property
+    def prices(self) -> DataFrame:
+        return self._dated("pricing_history", "effective_from", "effective_to")
+
+    @cached_property
+    def promotions(self) -> DataFrame:
+        return self._dated("promotions", "start_date", "end_date")

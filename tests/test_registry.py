@@ -14,7 +14,8 @@ NO_SQL = {"waste_risk_scores", "waste_risk_importance", "recommendations_with_ri
           "waste_figures_with_risk"}
 CHECKED = ["classify_exact", "clean_summary", "join_audit_raw", "item_features", "rfm_scores", "association_rules",
            "forecast_rows", "recommendations", "near_duplicate_orders", "pattern_checks", "named_segments",
-           "price_as_of", "scenario_price", "promo_active_items", "null_sanity", "split_bucket"]
+           "price_as_of", "scenario_price", "promo_active_items", "null_sanity", "split_bucket",
+           "chain_item_features", "chain_customer_rfm", "chain_labels"]
 
 
 @pytest.fixture
