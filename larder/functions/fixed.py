@@ -101,11 +101,6 @@ RAW_SCHEMAS = {
                "unit_cost DOUBLE, wastage_cost DOUBLE, reason STRING",
 }
 
-# --- columns the feature step needs, and the columns of the tables it builds
-REQUIRED_LINE_COLUMNS = [
-    "order_id", "item_id", "customer_id", "quantity", "unit_price", "discount_pct", "base_cost", "status",
-    "order_date", "item_name", "category_id", "category_name",
-]
 LINE_FEATURE_COLUMNS = [
     "order_id", "item_id", "item_name", "category_id", "category_name", "customer_id", "location_id",
     "order_date", "channel", "status", "is_completed", "quantity", "unit_price", "discount_pct", "net_revenue",

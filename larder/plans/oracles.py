@@ -602,6 +602,11 @@ def _queries() -> dict[str, str]:
                                  "WHERE failed IS NOT NULL")
     q["clean_rejects_order_items"] = ("SELECT order_id, item_id, line_no, failed AS first_failed_rule, n_copies "
                                       "FROM st_audit_order_items WHERE failed IS NOT NULL")
+    q["clean_rejects_ratings"] = ("SELECT order_id, item_id, failed AS first_failed_rule, n_copies FROM st_audit_ratings "
+                                  "WHERE failed IS NOT NULL")
+    for table, day in (("wastage", "waste_date"), ("inventory", "week_start")):
+        q[f"clean_rejects_{table}"] = (f"SELECT item_id, location_id, cast({day} AS varchar) AS {day}, failed AS first_failed_rule, "
+                                       f"n_copies FROM st_audit_{table} WHERE failed IS NOT NULL")
     q["cleaned_item_revenue"] = f"""SELECT item_id, cast(sum(quantity) AS bigint) AS total_quantity_sold,
             count(DISTINCT i.order_id) AS n_orders,
             cast(round({money('unit_price * quantity * (1 - discount_pct / 100)')}, 2) AS double) AS net_revenue,
@@ -784,6 +789,13 @@ def _queries() -> dict[str, str]:
                                "FROM st_items")
 
     q["weekly_demand"] = "SELECT category_name, cast(week_start AS varchar) AS week_start, quantity FROM st_weekly"
+    q["weekly_demand_location"] = """SELECT location_id, cast(date_trunc('week', order_date - 1)::date + 1 AS varchar) AS week_start,
+        cast(sum(quantity) AS bigint) AS quantity FROM st_named WHERE done GROUP BY ALL"""
+    q["contract_fill"] = union(
+        f"SELECT '{n}' AS table_name, '{c.strip()}' AS column_name, count(*) FILTER ({c} IS NULL) AS n_missing, "
+        f"{rnd(f'count(*) FILTER ({c} IS NULL) * 100.0 / count(*)', 2)} AS pct_missing FROM {t}"
+        for n, t, columns in (("item_features", "st_items", ITEM_COLUMNS), ("customer_rfm", "st_rfm", "customer_id,frequency,monetary,recency_days"))
+        for c in columns.split(","))
     q["demand_extent"] = """SELECT count(DISTINCT category_name) AS n_categories, count(DISTINCT week_start) AS n_weeks
         FROM st_weekly"""
     q["forecast_series_split"] = """SELECT category_name, cast(week_start AS varchar) AS week_start, quantity, t, n_weeks,
@@ -791,6 +803,8 @@ def _queries() -> dict[str, str]:
     metric = ", ".join(f"{rnd(c, 4)} AS {c}" for c in ("mae_baseline", "mae_model", "rmse_model", "mape_model_pct"))
     q["forecast_metrics"] = f"""SELECT category_name, n_train_weeks, n_test_weeks, {metric},
         mae_model < mae_baseline AS beats_baseline FROM st_metrics"""
+    q["forecast_metrics_location"] = q["forecast_metrics"].replace("category_name", "location_id").replace(
+        "st_metrics", "st_place_metrics")
     q["forecast_wins"] = """SELECT count(*) FILTER (mae_model < mae_baseline) AS n_wins, count(*) AS n_categories
         FROM st_metrics"""
     q["forecast_bands"] = """SELECT category_name, CASE WHEN mae_model < mae_baseline AND mape_model_pct < 20 THEN 'useful'
@@ -912,3 +926,10 @@ _CHAINED = [n for n in STEPS if n in ("st_sales", "st_named", "st_waste_item", "
 for _name in _CHAINED:
     STEPS[_name.replace("st_", "st_chain_", 1)] = re.sub(
         r"\b(fx|st)_\w+", lambda m: m[0].replace("st_", "st_chain_", 1) if m[0] in _CHAINED else _ON_CLEANED.get(m[0], m[0]), STEPS[_name])
+
+# the weekly series and the forecast errors by location
+_WEEKLY = ("st_weekly", "st_series", "st_fit", "st_tested", "st_metrics")
+for _name in _WEEKLY:
+    STEPS[_name.replace("st_", "st_place_", 1)] = re.sub(
+        r"\bst_\w+", lambda m: m[0].replace("st_", "st_place_", 1) if m[0] in _WEEKLY else m[0], STEPS[_name]).replace(
+        "category_name", "location_id")

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from larder.functions.columns import rounded
-from larder.functions.fixed import Q_ORPHAN_LINE, Q_ORPHAN_RATING, Q_UNKNOWN_ITEM
+from larder.functions.fixed import CONTRACTS, Q_ORPHAN_LINE, Q_ORPHAN_RATING, Q_UNKNOWN_ITEM
 from larder.operators import (
     basket, business, classify, cleaning, features, forecast, joins, patterns, quality, recommend, risk, scenarios,
     segments,
@@ -158,6 +158,23 @@ def clean_rejects_order_items(s):
         "order_id", "item_id", "line_no", "first_failed_rule", "n_copies")
 
 
+@query
+def clean_rejects_ratings(s):
+    return cleaning.rejected(s.cleaning.audit("ratings")).select("order_id", "item_id", "first_failed_rule", "n_copies")
+
+
+@query
+def clean_rejects_wastage(s):
+    return cleaning.rejected(s.cleaning.audit("wastage")).select(
+        "item_id", "location_id", "waste_date", "first_failed_rule", "n_copies")
+
+
+@query
+def clean_rejects_inventory(s):
+    return cleaning.rejected(s.cleaning.audit("inventory")).select(
+        "item_id", "location_id", "week_start", "first_failed_rule", "n_copies")
+
+
 @query
 def cleaned_item_revenue(s):
     """From raw tables through cleaning and joining to revenue per item."""
@@ -535,6 +552,24 @@ def weekly_demand(s):
     return s.weekly
 
 
+@query
+def weekly_demand_location(s):
+    return forecast.weekly_demand(s.named_lines, "location_id")
+
+
+@query
+def forecast_metrics_location(s):
+    weekly = settle(forecast.weekly_demand(s.named_lines, "location_id"))
+    return to_places(forecast.forecast_metrics(forecast.split_series(weekly, "location_id"), "location_id"), 4, *METRIC_COLUMNS)
+
+
+@query
+def contract_fill(s):
+    """How well the columns that the contracts demand are filled."""
+    return union_all([quality.null_profile(io.require_contract(t, n).select(*CONTRACTS[n]), n, complete=True)
+                      for n, t in (("item_features", s.item_features), ("customer_rfm", s.rfm))])
+
+
 @query
 def demand_extent(s):
     return forecast.demand_extent(s.weekly)
