@@ -823,7 +823,7 @@ def pattern_checks(s):
 @query
 def event_study(s):
     events = patterns.price_events(s.prices, SETTINGS.min_price_rise)
-    study = patterns.event_study(events, s.checked_lines, SETTINGS.study_days, SETTINGS.min_units_before)
+    study = patterns.event_study(events, s.study_lines, SETTINGS.study_days, SETTINGS.min_units_before)
     return to_places(study, 6, "rise", "change")
 
 

@@ -190,13 +190,22 @@ class Sales:
         return settle(patterns.valid_orders(
             self.view("raw_orders"), self.locations, SETTINGS.start, SETTINGS.end))
 
+    @property
+    def read_lines(self) -> DataFrame:
+        return patterns.valid_lines(self.view("raw_order_items"), self.checked_orders, self.items)
+
+    @property
+    def study_lines(self) -> DataFrame:
+        """The checked lines for a query that reads them once."""
+        return patterns.checked_lines(self.read_lines, self.checked_orders, self.items)
+
     @cached_property
     def valid_lines(self) -> DataFrame:
-        return settle(patterns.valid_lines(self.view("raw_order_items"), self.checked_orders, self.items))
+        return settle(self.read_lines, "valid-lines")
 
     @cached_property
     def checked_lines(self) -> DataFrame:
-        return settle(patterns.checked_lines(self.valid_lines, self.checked_orders, self.items))
+        return settle(patterns.checked_lines(self.valid_lines, self.checked_orders, self.items), "checked-lines")
 
     @cached_property
     def checked_waste(self) -> DataFrame:
