@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from larder.llm.arrow import map_text, text_buffers
 from larder.llm.ragged import mix
+from larder.llm.sizes import small
 from larder.session import settle
 
 UNKNOWN = "und"
@@ -76,10 +77,10 @@ def training_sample(frame: DataFrame, per_lang: int, text: str, lang: str) -> Da
     """Rows with features and language, about ``per_lang`` different texts of each language, chosen by hash."""
     known = frame.filter(F.col(lang).isNotNull() & F.col(text).rlike(r"\p{L}"))
     spot = F.pmod(F.xxhash64(F.col(text)), F.lit(1 << 30))
-    bounds = known.groupBy(F.col(lang).alias("_lang")).agg(
-        (F.lit(float(1 << 30)) * per_lang / F.count(F.lit(1))).alias("_bound"))
+    bounds = settle(known.groupBy(F.col(lang).alias("_lang")).agg(
+        (F.lit(float(1 << 30)) * per_lang / F.count(F.lit(1))).alias("_bound")), "language-counts")
     chosen = (known.select(F.col(text).alias("_text"), F.col(lang).alias("_lang"), spot.alias("_spot"))
-              .join(bounds, "_lang").filter(F.col("_spot") < F.col("_bound"))
+              .join(small(bounds, 64), "_lang").filter(F.col("_spot") < F.col("_bound"))
               .dropDuplicates(["_spot", "_lang"]).select("_text", "_lang"))
 
     def work(batch: pa.RecordBatch) -> dict:
