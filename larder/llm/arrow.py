@@ -70,8 +70,8 @@ def with_field(schema: T.StructType, name: str, kind: str) -> T.StructType:
 
 
 def map_text(frame: DataFrame, work: Callable[[pa.RecordBatch], dict], schema: str | T.StructType,
-             column: str = "text", setup: Callable[[], object] | None = None) -> DataFrame:
-    """``mapInArrow`` over runs of rows of bounded text size.
+             column: str = "text", setup: Callable[[], object] | None = None, limit: int = SLICE_BYTES) -> DataFrame:
+    """``mapInArrow`` over runs of rows of about ``limit`` bytes of text.
 
     ``work(batch)``, or ``work(batch, state)`` with the result of ``setup()`` made once per task, returns a dict
     of columns in the order of ``schema``, or None for no rows.
@@ -83,7 +83,7 @@ def map_text(frame: DataFrame, work: Callable[[pa.RecordBatch], dict], schema: s
 
     def run(batches):
         state = [setup()] if setup else []
-        for part in slices(batches, column):
+        for part in slices(batches, column, limit):
             out = work(part, *state)
             if out is not None:
                 yield pa.RecordBatch.from_arrays(

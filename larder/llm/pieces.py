@@ -12,7 +12,8 @@ from sentencepiece import sentencepiece_model_pb2
 from larder.llm.arrow import map_text, prepare, text_buffers, with_field
 from larder.llm.ragged import gather, mix, span_hashes
 
-CACHE_SYMBOLS = 4_000_000  # code points of distinct segments whose pieces a task remembers
+SLICE_BYTES = 3 << 18  # text whose new segments are matched at once; their edges take some hundred times as much
+CACHE_SYMBOLS = 2_000_000  # code points of distinct segments whose pieces a task remembers
 PAIR_SLOTS = 1 << 20  # remembered answers about neighbouring pieces
 SPACE = "▁"
 _NEVER = np.int64(1 << 40)
@@ -278,7 +279,7 @@ def encode_pieces(frame: DataFrame, model_path: str, text: str = "text", ids: st
     """All columns of ``frame`` and ``ids``, the array of piece ids of the whole text; a column of that name is replaced.
 
     Ids equal those of the model's own library without begin and end pieces. A null or empty text gives an empty
-    array; repeated rows are encoded alike. A task matches the distinct segments of about 2 MB of text at once (or of
+    array; repeated rows are encoded alike. A task matches the new distinct segments of SLICE_BYTES of text at once (or of
     one longer text), in one concatenated text. Segments are recognised by a 64-bit hash.
     """
     spark = prepare(frame.sparkSession)
@@ -290,7 +291,7 @@ def encode_pieces(frame: DataFrame, model_path: str, text: str = "text", ids: st
         return dict(enumerate([*batch.columns, pa.ListArray.from_arrays(begin.astype(np.int32), flat)]))
 
     schema = with_field(frame.schema, ids, "array<int>")
-    return map_text(frame, work, schema, text, setup=lambda: _encoder(model_path, model))
+    return map_text(frame, work, schema, text, setup=lambda: _encoder(model_path, model), limit=SLICE_BYTES)
 
 
 def decode_pieces(frame: DataFrame, model_path: str, ids: str = "piece_ids", out: str = "decoded") -> DataFrame:
