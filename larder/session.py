@@ -18,6 +18,7 @@ RUNTIME = {
 _RUN = f"larder-{uuid.uuid4().hex}"
 _roots: dict[str, SparkSession] = {}
 _local: list[str] = []
+settled: list[str] = []  # paths of the tables written by settle, in order
 
 
 def configure(spark: SparkSession) -> SparkSession:
@@ -47,11 +48,17 @@ def scratch_root(spark: SparkSession) -> str:
     return root
 
 
+def drop_tables(spark: SparkSession, paths: list[str]) -> None:
+    """Delete settled tables that no frame in use reads any more."""
+    for name in paths:
+        path = spark._jvm.org.apache.hadoop.fs.Path(name)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def _clear() -> None:
     for root, spark in _roots.items():
         if spark.sparkContext._jsc is not None:  # the session may have been stopped before
-            path = spark._jvm.org.apache.hadoop.fs.Path(root)
-            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+            drop_tables(spark, [root])
 
 
 def settle(frame: DataFrame, name: str = "frame") -> DataFrame:
@@ -63,4 +70,5 @@ def settle(frame: DataFrame, name: str = "frame") -> DataFrame:
     spark = frame.sparkSession
     path = f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
     frame.write.parquet(path)
+    settled.append(path)
     return spark.read.schema(frame.schema).parquet(path)
