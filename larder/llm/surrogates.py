@@ -45,8 +45,8 @@ _CAPITAL = r"[^\W\d_a-zà-öø-ÿа-яё][^\W\d_]+"
 _TITLED = rf"\b(?P<title>(?i:{'|'.join(sorted(map(re.escape, TITLES), key=len, reverse=True))}))\.? (?P<name>{_CAPITAL}(?: {_CAPITAL})?)"
 _NAMED = rf"(?P<named>\b(?P<given>{'|'.join(sorted(n for names in GIVEN.values() for n in names.split()))}) (?P<surname>{_CAPITAL})\b)"
 _FIND = re.compile("|".join((_EMAIL, _IP, _CARD, _PHONE, _TITLED, _NAMED)))
-#: Texts without any of these hold no entity.
-_WORTH = (r"@|\d{4}|\d\.\d+\.\d|\(\d{3}\)|\d{3}[-.]\d{3}|\+\d|(?i)\b(?:" + "|".join(map(re.escape, TITLES)) + r")\.? |"
+#: Texts without any of these hold no entity. Arrow's \b, \w and \d know ASCII only: no \b here, and digits by \p{Nd}.
+_WORTH = (r"@|\p{Nd}{4}|\p{Nd}\.\p{Nd}+\.\p{Nd}|\([\p{Nd}]{3}\)|\p{Nd}{3}[-.]\p{Nd}{3}|\+\p{Nd}|(?i)(?:" + "|".join(map(re.escape, TITLES)) + r")\.? |"
           + "|".join(n for names in GIVEN.values() for n in names.split()))
 
 

@@ -214,6 +214,15 @@ def test_surrogates_are_distinct_and_consistent(spark, rows):
     assert surrogates.replace_entities(table.limit(0), b"key").collect() == []
 
 
+def test_names_after_cyrillic_and_greek_titles_alone_are_replaced(spark):
+    texts = ["здесь господин Кузнецов", "г-н Кузнецов", "ГОСПОЖА Кузнецова", "г-жа Иванова", "κύριος Παππάς", "ΚΎΡΙΟΣ Παππάς", "η κυρία Παπαδοπούλου", "Herr Schmidt"]
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    out = {r.doc_id: r for r in surrogates.replace_entities(table, b"key").collect()}
+    for k, text in enumerate(texts):
+        assert out[k].n_entities == len(surrogates.mentions(text)) == 1 and text.split(" ")[-1] not in out[k].text
+    assert out[0].text.split(" ")[-1] == out[1].text.split(" ")[-1]
+
+
 def test_no_personal_data_of_the_documents_is_left(spark):
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
     before = {m.canon for r in docs.collect() for m in surrogates.mentions(r.text or "")}
