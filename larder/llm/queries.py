@@ -95,7 +95,7 @@ def op6_tool_links(spark: SparkSession, folder: str) -> DataFrame:
                                                  F.lit("reply").alias("name"), arguments.alias("arguments"))
     results = turns.filter("role = 'assistant'").select("conv_id", "turn", place, ident(1).alias("call_id"),
                                                         F.col("text").alias("content"))
-    return tool_links.link_tool_calls(turns.filter("role = 'system'"), calls, results, {"reply": REPLY})
+    return tool_links.link_tool_calls(turns.filter("role IS NULL OR role NOT IN ('user', 'assistant')"), calls, results, {"reply": REPLY})
 
 
 @query

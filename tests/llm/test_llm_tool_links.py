@@ -82,3 +82,11 @@ def test_every_turn_of_the_conversations_is_there(spark):
     linked_calls = {(r.conv_id, r.call_id) for r in rows if r.part == 1 and r.status == "linked"}
     assert linked_calls == {(r.conv_id, r.call_id) for r in rows if r.part == 2 and r.status == "linked"} and linked_calls
     assert all(json.loads(r.json) for r in rows)
+
+
+def test_turns_of_null_and_other_roles_are_messages(spark, tmp_path):
+    turns = [(1, k, role, f"text {k}") for k, role in enumerate(["system", "user", "assistant", None, "tool"])]
+    spark.createDataFrame(turns, M).write.parquet(f"{tmp_path}/conversations.parquet")
+    rows = op6_tool_links(spark, str(tmp_path)).collect()
+    assert sorted(r.turn for r in rows) == [0, 1, 2, 3, 4]
+    assert {r.turn: json.loads(r.json)["role"] for r in rows if r.part == 0} == {0: "system", 3: "user", 4: "tool"}
