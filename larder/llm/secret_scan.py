@@ -41,8 +41,9 @@ _TOKEN = re.compile(r"""
   | (?P<other>.|\n)""", re.X | re.S)
 _ASSIGNS = {"=", ":", ":=", "=>", "+="}
 _WORDS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|[0-9]+")
-#: A text without any of these has no name-literal pair to score.
-_WORTH = r"""(?i)(?:passw|pwd|passphrase|secret|credential|token|key|bearer|private|auth|salt|signature)[A-Za-z0-9_.$-]*["'\]]*\s*(?::=|=>|\+=|[:=])"""
+#: Texts without a telling word or without an assignment sign have no name-literal pair to score.
+_WORTH = r"(?i)passw|pwd|passphrase|secret|credential|token|key|bearer|private|auth|salt|signature"
+_SIGN = r"[:=]"
 
 
 def name_score(name: str) -> float:
@@ -82,6 +83,9 @@ def assignments(text: str) -> list[tuple[str, list[tuple[str, int, int]]]]:
             while back and text[tokens[back][1]:tokens[back][2]] in ("]", ")"):
                 back -= 1
             left, s, e = tokens[back]
+            if text[start:end] == "=" and left == "name" and back > 1 and text[tokens[back - 1][1]:tokens[back - 1][2]] == ":":
+                if tokens[back - 2][0] in ("name", "string"):  # a declaration with a type: name : type =
+                    left, s, e = tokens[back - 2]
             name = text[s + 1:e - 1] if left == "string" else text[s:e] if left == "name" else ""
             parts, k = [], k + 1
             while k < len(tokens):
@@ -159,7 +163,7 @@ def scan_secrets(frame: DataFrame, threshold: float = 0.5, key: str = "doc_id",
         texts = batch.column(text).fill_null("")
         worth_base = pc.or_(pc.match_substring_regex(texts, r"(?i)(?:passw|secret|token|api_?key)|\x{017f}|\x{212a}"),
                             pc.match_substring_regex(texts, r"AKIA[A-Z0-9]|[0-9a-f]{16}")).to_pylist()
-        worth_lexing = pc.match_substring_regex(texts, _WORTH).to_pylist()
+        worth_lexing = pc.and_(pc.match_substring_regex(texts, _WORTH), pc.match_substring_regex(texts, _SIGN)).to_pylist()
         base, lexed = [], []
         for k in range(len(texts)):
             t = texts[k].as_py() if worth_base[k] or worth_lexing[k] else ""

@@ -89,6 +89,14 @@ def test_lexing_scores_literals_by_the_name_they_reach(text, found):
     assert [text[s:e] for s, _, e in sorted(secret_scan.lexed_spans(text, 0.5))] == found
 
 
+def test_scan_finds_quoted_called_and_declared_names(spark):
+    texts = ["`db_password`: 'Kx9_77hQ2zz1'", "cfg[`auth_token`] = 'Kx9_77hQ2zz1'", "env('PASSWORD') = 'Kx9_77hQ2zz1'",
+             'password: str = "Kx9_77hQ2zz1"', 'const apiToken: string = "Kx9_77hQ2zz1"', 'title: str = "Kx9_77hQ2zz1"']
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r.doc_id: [texts[r.doc_id][x.start:x.end] for x in r.lexed] for r in secret_scan.scan_secrets(table).collect()}
+    assert found == {**{k: ["Kx9_77hQ2zz1"] for k in range(5)}, 5: []}
+
+
 def test_languages_are_told_apart_on_held_out_documents(spark):
     folder = FOLDER.replace("0.001", "0.01")
     found = queries.op1_language_id(spark, folder)
