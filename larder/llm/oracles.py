@@ -34,4 +34,11 @@ links AS (
 counts AS (SELECT a AS r, count(*) AS n FROM links GROUP BY a)
 SELECT vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, component_id, vec_id = component_id AS kept
 FROM rows_ JOIN least USING (r) LEFT JOIN counts USING (r)""",
+    "op11_exact_stream": """
+WITH texts AS (
+  SELECT row_number() OVER () AS r, doc_id, translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents)
+SELECT doc_id, max(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,
+  row_number() OVER (PARTITION BY t ORDER BY doc_id DESC NULLS LAST, r DESC) = 1 AS kept, sha256(t) AS text_sha256
+FROM texts""",
 }

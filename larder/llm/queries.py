@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from larder.llm import (
-    decontamination, fuzzy_lines, language_id, near_vectors, ngram_join, pieces, secret_scan,
+    decontamination, exact_stream, fuzzy_lines, language_id, near_vectors, ngram_join, pieces, secret_scan,
     surrogates, token_counts, tool_links,
 )
 from larder.llm.oracles import ORACLES
@@ -117,3 +117,9 @@ def op9_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op10_near_vectors(spark: SparkSession, folder: str) -> DataFrame:
     return near_vectors.vector_links(table(spark, folder, "embeddings"))
+
+
+@query
+def op11_exact_stream(spark: SparkSession, folder: str) -> DataFrame:
+    found = exact_stream.exact_duplicates(spark, f"{folder}/documents.parquet")
+    return found.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
