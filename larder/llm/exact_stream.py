@@ -19,6 +19,8 @@ _STATE = {
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "256",
+    # each open store takes some MB of an executor's disk, however little it holds
+    "spark.sql.streaming.stateStore.unloadOnCommit": "true",
 }
 
 
