@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from larder.llm import (
-    decontamination, exact_stream, fuzzy_lines, language_id, near_vectors, ngram_join, pieces, secret_scan,
+    decontamination, exact_stream, fuzzy_lines, language_id, near_vectors, ngram_join, pieces, resampling, secret_scan,
     surrogates, token_counts, tool_links,
 )
 from larder.llm.oracles import ORACLES
@@ -123,3 +123,10 @@ def op10_near_vectors(spark: SparkSession, folder: str) -> DataFrame:
 def op11_exact_stream(spark: SparkSession, folder: str) -> DataFrame:
     found = exact_stream.exact_duplicates(spark, f"{folder}/documents.parquet")
     return found.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
+
+
+@query
+def op13_resampling(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    drawn = resampling.resample(docs, table(spark, folder, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", F.col("rank").cast("long").alias("rank"))
