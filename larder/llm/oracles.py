@@ -41,4 +41,25 @@ WITH texts AS (
 SELECT doc_id, max(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,
   row_number() OVER (PARTITION BY t ORDER BY doc_id DESC NULLS LAST, r DESC) = 1 AS kept, sha256(t) AS text_sha256
 FROM texts""",
+    "op12_vector_codes": """
+WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY vec_id NULLS LAST, embedding) AS r, vec_id, label,
+    list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+parts AS MATERIALIZED (
+  SELECT r, p, list_slice(v, p * (len(v) // 16) + 1, (p + 1) * (len(v) // 16)) AS x FROM kept, range(16) AS t(p)),
+books0 AS MATERIALIZED (SELECT p, r - 1 AS e, x AS c FROM parts WHERE r <= 64),
+""" + "".join(f"""coded{n} AS MATERIALIZED (
+  SELECT r, p, min(list_sum(list_transform(list_zip(x, c), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) * 64 + e) AS m
+  FROM parts JOIN books{n} USING (p) GROUP BY r, p),
+""" + (f"""components{n} AS (SELECT p, m % 64 AS e, unnest(range(1, len(x) + 1)) AS i, unnest(x) AS y FROM coded{n} JOIN parts USING (r, p)),
+means{n} AS (SELECT p, e, i, CAST(floor(sum(y)::DOUBLE / count(*)) AS BIGINT) AS y FROM components{n} GROUP BY p, e, i),
+books{n + 1} AS MATERIALIZED (
+  SELECT p, e, coalesce(m.c, b.c) AS c FROM books{n} b LEFT JOIN (SELECT p, e, list(y ORDER BY i) AS c FROM means{n} GROUP BY p, e) m USING (p, e)),
+""" if n < 2 else "") for n in range(3)) + """codes AS MATERIALIZED (
+  SELECT r, string_agg(printf('%02x', CAST(m % 64 AS BIGINT)), '' ORDER BY p) AS code, CAST(sum(CAST(m AS BIGINT) // 64) AS BIGINT) AS error
+  FROM coded2 GROUP BY r),
+digest AS (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY p, e)) AS codebooks_sha256 FROM books2)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+FROM kept JOIN codes USING (r), digest""",
 }

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from larder.llm import (
     decontamination, exact_stream, fuzzy_lines, language_id, near_vectors, ngram_join, pieces, resampling, secret_scan,
-    surrogates, token_counts, tool_links,
+    surrogates, token_counts, tool_links, vector_codes,
 )
 from larder.llm.oracles import ORACLES
 
@@ -130,3 +130,11 @@ def op13_resampling(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     drawn = resampling.resample(docs, table(spark, folder, "benchmark"))
     return drawn.select("doc_id", "n_features", "weight", "score", F.col("rank").cast("long").alias("rank"))
+
+
+@query
+def op12_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
+    coded, books = vector_codes.compress_vectors(table(spark, folder, "embeddings"))
+    digits = F.array_join(F.transform("codes", lambda c: F.lpad(F.lower(F.hex(c)), 2, "0")), "")
+    return vector_codes.label_errors(coded).select("vec_id", digits.alias("code"), "error", "label_error",
+                                                   F.lit(vector_codes.codebooks_digest(books)).alias("codebooks_sha256"))
