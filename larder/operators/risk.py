@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
-from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from larder.functions.columns import rounded
+from larder.operators import forest
+
+NUMBERS, CATEGORY = ["units_in", "rating_in"], "category_in"
+NAMES = ["total_quantity_sold", "avg_rating"]
+
 
 def with_target(items: DataFrame) -> DataFrame:
     """Items with a known waste share."""
@@ -22,45 +25,30 @@ def dropped_without_target(items: DataFrame) -> DataFrame:
 def _inputs(items: DataFrame) -> DataFrame:
     # ratings run from 1 to 5, so 0 lets a split set unrated items apart
     return items.withColumns({
-        "units_in": F.col("total_quantity_sold").cast("double"),
+        "units_in": F.coalesce(F.col("total_quantity_sold").cast("double"), F.lit(0.0)),
         "rating_in": F.coalesce("avg_rating", F.lit(0.0)),
         "category_in": F.coalesce("category_name", F.lit(""))})
 
 
-def fit_waste_risk(items: DataFrame, trees: int = 200, depth: int = 30, bins: int = 256, seed: int = 42) -> PipelineModel:
-    """Forest on units sold, rating and one-hot category (no level dropped), all features per split.
-
-    Trees grow until their leaves are pure or ``depth`` is reached, of which 30 is the most the library offers.
-    ``bins`` is the number of candidate splits of a feature.
-    """
-    cores = items.sparkSession.sparkContext.defaultParallelism
-    training = _inputs(with_target(items)).select(
-        "units_in", "rating_in", "category_in", "wastage_percent").repartition(cores).cache()
-    model = Pipeline(stages=[
-        StringIndexer(inputCol="category_in", outputCol="category_ix", handleInvalid="keep"),
-        OneHotEncoder(inputCol="category_ix", outputCol="category_hot", dropLast=False),
-        VectorAssembler(inputCols=["units_in", "rating_in", "category_hot"], outputCol="features"),
-        RandomForestRegressor(featuresCol="features", labelCol="wastage_percent", numTrees=trees, maxDepth=depth, maxBins=bins,
-                              seed=seed, featureSubsetStrategy="all", predictionCol="predicted_wastage_risk",
-                              maxMemoryInMB=1024),
-    ]).fit(training)
-    training.unpersist()
-    return model
-
-
-def score_waste_risk(items: DataFrame, model: PipelineModel) -> DataFrame:
+def fit_waste_risk(items: DataFrame, trees: int = 200, sample_rows: int = forest.SAMPLE_ROWS, seed: int = 42) -> DataFrame:
+    """The node table of a forest on units sold, rating and category, all features per split, grown to pure leaves."""
+    rows = _inputs(with_target(items)).select("item_id", *NUMBERS, CATEGORY, "wastage_percent")
+    return forest.fit_forest(rows, "item_id", NUMBERS, CATEGORY, "wastage_percent", trees, sample_rows, seed)
+
+
+def score_waste_risk(items: DataFrame, model: DataFrame) -> DataFrame:
     """The rows the model was trained on with their in-sample prediction."""
-    return model.transform(_inputs(with_target(items))).select(*items.columns, "predicted_wastage_risk")
+    scored = forest.score_forest(_inputs(with_target(items)), model, NUMBERS, CATEGORY, "predicted_wastage_risk")
+    return scored.select(*items.columns, "predicted_wastage_risk")
 
 
-def importances(model: PipelineModel, n: int = 10, spark=None) -> DataFrame:
-    """Feature importances, largest first."""
-    from pyspark.sql import SparkSession
-    spark = spark or SparkSession.active()
-    labels = model.stages[0].labels
-    names = ["total_quantity_sold", "avg_rating", *[f"category_name_{c}" for c in labels]]
-    weights = model.stages[-1].featureImportances.toArray().tolist()
-    return (spark.createDataFrame(list(zip(names, weights)), "feature string, importance double")
+def importances(items: DataFrame, model: DataFrame, n: int = 10) -> DataFrame:
+    """Importances of all features of the training items, largest first; a feature that never cuts has 0."""
+    categories = _inputs(with_target(items)).select(F.concat(F.lit("category_name_"), CATEGORY).alias("feature")).distinct()
+    features = categories.unionAll(items.sparkSession.createDataFrame([(name,) for name in NAMES], "feature string"))
+    found = forest.feature_weights(model, NAMES, "category_name")
+    return (features.join(found, "feature", "left")
+            .select("feature", rounded(F.coalesce("importance", F.lit(0.0)), 6).alias("importance"))
             .orderBy(F.desc("importance"), "feature").limit(n))
 
 

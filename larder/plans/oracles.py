@@ -5,6 +5,7 @@
 
 from __future__ import annotations
 
+import math
 import re
 
 from larder.functions.fixed import (
@@ -17,6 +18,8 @@ from larder.plans.queries import DISCOUNT_GRID, MINIMUMS, PREP_GRID, PRICE_GRID
 from larder.plans.sales import SETTINGS as S
 from larder.sources.fixtures import RAW_TABLES, with_clause
 
+# cumulative Poisson probabilities of mean 1 as eight hexadecimal digits
+POISSON = str([f"{int(sum(math.exp(-1) / math.factorial(i) for i in range(k + 1)) * 2 ** 32):08x}" for k in range(12)])
 LOCS = "(" + ", ".join(f"'L{n:02d}'" for n in range(1, 21)) + ")"
 DAY = "CASE WHEN try_cast(order_date AS date) IS NOT NULL THEN cast(order_date AS date) END"
 
@@ -260,6 +263,44 @@ STEPS: dict[str, str] = {
         FROM st_fit AS f JOIN (SELECT category_name, max(week_start) AS last_week FROM st_series
                                GROUP BY category_name) AS l ON f.category_name = l.category_name,
              (SELECT unnest([1, 2, 3, 4]) AS k) AS ahead""",
+    # the forest: every tree is grown and walked level by level, with all items, of which those it did not draw weigh 0
+    "st_risk_rows": f"""SELECT tree, item_id, coalesce(total_quantity_sold, 0)::double AS units, coalesce(avg_rating, 0.0)::double AS rating,
+            coalesce(category_name, '') AS cat, cast(round(wastage_percent * 10000) AS bigint) AS y,
+            len(list_filter({POISSON}, lambda step: step <= substr(md5('42:' || tree // 4 || ':' || item_id), 8 * (tree % 4) + 1, 8))) AS w
+        FROM st_items, range(200) AS t(tree) WHERE wastage_percent IS NOT NULL""",
+    "st_risk_walk": """WITH RECURSIVE walk AS (
+          SELECT tree, item_id, units, rating, cat, y, w, 1::hugeint AS node, NULL::double AS gain, NULL::varchar AS feature, 0 AS level FROM st_risk_rows
+        UNION ALL (
+          WITH drawn AS (SELECT * FROM walk WHERE w > 0),
+          whole AS (SELECT tree, node, sum(w)::double AS n, sum(w * y)::double AS s FROM drawn GROUP BY tree, node HAVING min(y) < max(y)),
+          by_units AS (SELECT tree, node, units AS x, sum(w)::double AS n, sum(w * y)::double AS s FROM drawn GROUP BY tree, node, units),
+          by_rating AS (SELECT tree, node, rating AS x, sum(w)::double AS n, sum(w * y)::double AS s FROM drawn GROUP BY tree, node, rating),
+          sorted AS (
+            SELECT 0 AS feature, tree, node, x, lead(x) OVER v AS next_x, sum(n) OVER v AS n, sum(s) OVER v AS s FROM by_units WINDOW v AS (PARTITION BY tree, node ORDER BY x)
+            UNION ALL
+            SELECT 1, tree, node, x, lead(x) OVER v, sum(n) OVER v, sum(s) OVER v FROM by_rating WINDOW v AS (PARTITION BY tree, node ORDER BY x)),
+          cuts AS (
+            SELECT feature, tree, node, (x + next_x) / 2 AS cut, '' AS cat, n, s FROM sorted WHERE next_x IS NOT NULL
+            UNION ALL SELECT 2, tree, node, 0, cat, sum(w)::double, sum(w * y)::double FROM drawn GROUP BY tree, node, cat),
+          best AS (
+            SELECT tree, node, arg_min({'feature': feature, 'cut': cut, 'cat': cat, 'gain': gain - whole_s * whole_s / whole_n},
+                                       {'gain': -gain, 'feature': feature, 'cut': cut, 'cat': cat}) AS b
+            FROM (SELECT tree, node, feature, cut, cat, whole.n AS whole_n, whole.s AS whole_s,
+                         cuts.s * cuts.s / cuts.n + (whole.s - cuts.s) * (whole.s - cuts.s) / (whole.n - cuts.n) AS gain
+                  FROM cuts JOIN whole USING (tree, node) WHERE cuts.n < whole.n) AS c GROUP BY tree, node)
+          SELECT tree, item_id, units, rating, walk.cat, y, w,
+            2 * node + CASE b.feature WHEN 0 THEN (units > b.cut)::int WHEN 1 THEN (rating > b.cut)::int ELSE (walk.cat = b.cat)::int END,
+            b.gain, CASE b.feature WHEN 0 THEN 'total_quantity_sold' WHEN 1 THEN 'avg_rating' ELSE 'category_name_' || b.cat END, level + 1
+          FROM walk JOIN best USING (tree, node)))
+        SELECT * FROM walk""",
+    "st_risk": """SELECT item_id, cast(sum(value) AS double) / 2e10 AS predicted_wastage_risk FROM
+          (SELECT tree, item_id, max(level) AS level FROM st_risk_walk GROUP BY tree, item_id) AS last
+        JOIN st_risk_walk USING (tree, item_id, level)
+        JOIN (SELECT tree, node, (2 * cast(sum(w * y) AS bigint) * 10000 + cast(sum(w) AS bigint)) // (2 * cast(sum(w) AS bigint)) AS value
+              FROM st_risk_walk WHERE w > 0 GROUP BY tree, node) AS leaf USING (tree, node) GROUP BY item_id""",
+    "st_risk_shares": """SELECT tree, feature, sum(gain) / sum(sum(gain)) OVER (PARTITION BY tree) AS share FROM
+          (SELECT DISTINCT tree, node // 2 AS parent, feature, gain FROM st_risk_walk WHERE w > 0 AND feature IS NOT NULL) AS cut
+        GROUP BY tree, feature""",
     # recommendations
     "st_cuts": """SELECT quantile_cont(profit_margin, 0.5) AS margin_median, quantile_cont(profit_margin, 0.9) AS margin_p90,
             quantile_cont(wastage_percent, 0.85) AS wastage_p85, quantile_cont(wastage_percent, 0.95) AS wastage_p95,
@@ -785,6 +826,21 @@ def _queries() -> dict[str, str]:
     q["association_rules"] = f"SELECT {RULE_OUT} FROM st_named_rules"
     q["top_rules"] = (f"SELECT {RULE_OUT} FROM (SELECT * FROM st_named_rules ORDER BY lift DESC, confidence DESC, "
                       "antecedents, consequents LIMIT 10) AS t")
+    q["waste_risk_scores"] = f"""SELECT item_id, item_name, wastage_percent, {rnd('predicted_wastage_risk', 6)} AS predicted_wastage_risk
+        FROM st_risk JOIN st_items USING (item_id) ORDER BY st_risk.predicted_wastage_risk DESC, item_id LIMIT 10"""
+    q["waste_risk_importance"] = f"""SELECT feature, {rnd('coalesce(total / n, 0)', 6)} AS importance
+        FROM (SELECT DISTINCT 'category_name_' || cat AS feature FROM st_risk_rows
+              UNION ALL SELECT unnest(['total_quantity_sold', 'avg_rating'])) AS f
+        LEFT JOIN (SELECT feature, sum(share) AS total FROM st_risk_shares GROUP BY feature) AS t USING (feature),
+             (SELECT count(DISTINCT tree) AS n FROM st_risk_shares) AS c ORDER BY importance DESC, feature LIMIT 10"""
+    q["recommendations_with_risk"] = f"""SELECT rule_no, item_id, item_name, recommended_action,
+        CASE WHEN rule_no = 2 THEN reason || ' | model-predicted wastage risk score ' || (
+            SELECT {dec('predicted_wastage_risk', 3)} FROM st_risk r WHERE r.item_id::varchar = st_recs.item_id) ELSE reason END AS reason,
+        priority FROM st_recs"""
+    q["waste_figures_with_risk"] = f"""SELECT {rnd('avg(wastage_percent)', 4)} AS avg_wastage,
+        (SELECT item_name FROM st_items ORDER BY wastage_percent DESC NULLS LAST, item_id LIMIT 1) AS highest_wastage_item,
+        (SELECT item_name FROM st_risk JOIN st_items USING (item_id) ORDER BY predicted_wastage_risk DESC, item_id LIMIT 1) AS highest_risk_item
+        FROM st_items"""
     q["waste_risk_dropped"] = ("SELECT count(*) AS n_items, count(*) FILTER (wastage_percent IS NULL) AS n_dropped "
                                "FROM st_items")
 

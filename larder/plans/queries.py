@@ -523,11 +523,10 @@ def top_rules(s):
                      6, "support", "confidence", "lift")
 
 
-# --- waste risk (a trained forest; no SQL equivalent)
+# --- waste risk
 
 def _risk(s: Sales):
-    model = risk.fit_waste_risk(s.item_table)
-    return model, risk.score_waste_risk(s.labelled, model)
+    return risk.score_waste_risk(s.labelled, risk.fit_waste_risk(s.item_table))
 
 
 @query
@@ -537,12 +536,12 @@ def waste_risk_dropped(s):
 
 @query
 def waste_risk_scores(s):
-    return risk.top_predicted(_risk(s)[1])
+    return to_places(risk.top_predicted(_risk(s)), 6, "predicted_wastage_risk")
 
 
 @query
 def waste_risk_importance(s):
-    return risk.importances(_risk(s)[0], 10)
+    return risk.importances(s.item_table, risk.fit_waste_risk(s.item_table))
 
 
 # --- forecast
@@ -630,7 +629,7 @@ def recommendations(s):
 
 @query
 def recommendations_with_risk(s):
-    return s.recommendations(_risk(s)[1])
+    return s.recommendations(_risk(s))
 
 
 @query
@@ -746,7 +745,7 @@ def waste_figures(s):
 
 @query
 def waste_figures_with_risk(s):
-    return business.waste_figures(_risk(s)[1])
+    return business.waste_figures(_risk(s))
 
 
 @query

@@ -1,6 +1,9 @@
 """Session settings the jobs are written for, and the folder their intermediate tables go to."""
 
 import atexit
+import os
+import pathlib
+import shutil
 import tempfile
 import uuid
 
@@ -28,6 +31,22 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+_shipped: list = []
+
+
+def ship_package(spark: SparkSession) -> SparkSession:
+    """Make sure that Python workers can import this package: it is sent to them, once a session, unless they find it
+    through PYTHONPATH or have it installed."""
+    root = pathlib.Path(__file__).resolve().parents[1]
+    paths = [pathlib.Path(p or ".").resolve() for p in os.environ.get("PYTHONPATH", "").split(os.pathsep)]
+    sc = spark.sparkContext
+    if root not in paths and root.name != "site-packages" and not any(s is sc for s, _ in _shipped):
+        folder = tempfile.TemporaryDirectory()  # the driver serves the archive from here as long as the program runs
+        _shipped.append((sc, folder))
+        sc.addPyFile(shutil.make_archive(f"{folder.name}/larder-sales", "zip", root, "larder"))
+    return spark
+
+
 def scratch_root(spark: SparkSession) -> str:
     """Folder of this run's intermediate tables, removed when the program ends.
 
