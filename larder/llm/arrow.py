@@ -90,6 +90,8 @@ def map_text(frame: DataFrame, work: Callable[[pa.RecordBatch], dict], schema: s
                     [v if isinstance(v, pa.Array) and v.type == t.type else
                      v.cast(t.type) if isinstance(v, pa.Array) else pa.array(v, t.type)
                      for t, v in zip(arrow, out.values(), strict=True)], schema=arrow)
+        state.clear()
+        pa.default_memory_pool().release_unused()  # the worker process lives on and waits for other tasks
 
     return frame.mapInArrow(run, schema)
 

@@ -20,6 +20,7 @@ from larder.session import settle
 
 UNKNOWN = "und"
 FEATURES = 1 << 11
+SLICE_BYTES = 1 << 19  # text whose features are made at once; the n-grams take some fifty times as much
 SAMPLE_PER_LANG = 1500  # expected training rows of a language
 ITERATIONS = 40
 
@@ -88,7 +89,7 @@ def training_sample(frame: DataFrame, per_lang: int, text: str, lang: str) -> Da
         flat = pa.ListArray.from_arrays(np.arange(len(rows) + 1, dtype=np.int32) * FEATURES, rows.ravel())
         return {"_lang": batch.column("_lang"), "features": flat}
 
-    return settle(map_text(chosen, work, "_lang string, features array<float>", "_text"), "language-sample")
+    return settle(map_text(chosen, work, "_lang string, features array<float>", "_text", limit=SLICE_BYTES), "language-sample")
 
 
 def _svm(rows: DataFrame, yes: str, no: str) -> Linear:
@@ -168,16 +169,26 @@ def identify_languages(frame: DataFrame, model: LanguageModel | None, key: str =
         langs, scores = predict(batch.column(text), shared.value)
         return {key: batch.column(key), "lang_pred": langs, "score": scores}
 
-    return map_text(frame.select(key, text), work, f"`{key}` {kind}, lang_pred string, score double", text)
+    return map_text(frame.select(key, text), work, f"`{key}` {kind}, lang_pred string, score double", text, limit=SLICE_BYTES)
 
 
-def keep_identified(frame: DataFrame, model: LanguageModel | None, min_score: float = 0.0, text: str = "text") -> DataFrame:
-    """The rows of ``frame``, all columns, whose text has a language with a score of at least ``min_score``."""
+def keep_identified(frame: DataFrame, model: LanguageModel | None, min_score: float = 0.0, text: str = "text",
+                    lang: str | None = None) -> DataFrame:
+    """The rows of ``frame``, all columns, whose text has a language with a score of at least ``min_score``.
+
+    If ``lang`` names a column, the predicted language stands in it where it was null. Null, empty and letterless texts
+    go, and without a model all rows do. Repeated rows are judged alike, texts are read whole whatever their length,
+    other columns pass as they are, and an empty table stays empty.
+    """
     shared = frame.sparkSession.sparkContext.broadcast(model)
 
     def work(batch: pa.RecordBatch) -> dict:
         langs, scores = predict(batch.column(text), shared.value)
         keep = pa.array((np.array(langs) != UNKNOWN) & (scores >= min_score))
+        if lang:
+            at = batch.schema.get_field_index(lang)
+            filled = pc.fill_null(batch.column(at), pa.array(langs, batch.schema.field(at).type))
+            batch = pa.RecordBatch.from_arrays([filled if k == at else c for k, c in enumerate(batch.columns)], batch.schema.names)
         return dict(enumerate(batch.filter(keep).columns))
 
-    return map_text(frame, work, frame.schema, text)
+    return map_text(frame, work, frame.schema, text, limit=SLICE_BYTES)

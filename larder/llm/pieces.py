@@ -13,7 +13,7 @@ from larder.llm.arrow import map_text, prepare, text_buffers, with_field
 from larder.llm.ragged import gather, mix, span_hashes
 
 SLICE_BYTES = 3 << 18  # text whose new segments are matched at once; their edges take some hundred times as much
-CACHE_SYMBOLS = 2_000_000  # code points of distinct segments whose pieces a task remembers
+CACHE_SYMBOLS = 1_000_000  # code points of distinct segments whose pieces a task remembers
 PAIR_SLOTS = 1 << 20  # remembered answers about neighbouring pieces
 SPACE = "▁"
 _NEVER = np.int64(1 << 40)
@@ -264,17 +264,6 @@ class Decoder:
         return out
 
 
-_encoders: dict[str, Encoder] = {}
-
-
-def _encoder(path: str, model) -> Encoder:
-    """The encoder of this worker process, which goes on from task to task with what it remembers."""
-    if path not in _encoders:
-        _encoders.clear()
-        _encoders[path] = Encoder(model.value)
-    return _encoders[path]
-
-
 def encode_pieces(frame: DataFrame, model_path: str, text: str = "text", ids: str = "piece_ids") -> DataFrame:
     """All columns of ``frame`` and ``ids``, the array of piece ids of the whole text; a column of that name is replaced.
 
@@ -291,7 +280,7 @@ def encode_pieces(frame: DataFrame, model_path: str, text: str = "text", ids: st
         return dict(enumerate([*batch.columns, pa.ListArray.from_arrays(begin.astype(np.int32), flat)]))
 
     schema = with_field(frame.schema, ids, "array<int>")
-    return map_text(frame, work, schema, text, setup=lambda: _encoder(model_path, model), limit=SLICE_BYTES)
+    return map_text(frame, work, schema, text, setup=lambda: Encoder(model.value), limit=SLICE_BYTES)
 
 
 def decode_pieces(frame: DataFrame, model_path: str, ids: str = "piece_ids", out: str = "decoded") -> DataFrame:
