@@ -57,14 +57,43 @@ def name_score(name: str) -> float:
     return max(best, NAME_WEIGHTS["apikey"] if joined.endswith(("apikey", "accesskey", "secretkey", "privatekey")) else 0.0)
 
 
-def literal_score(value: str) -> float:
-    """How much a literal looks like a secret rather than a word or a placeholder, 0 to 1."""
-    if len(value) < 6 or PLACEHOLDER.match(value) or any(c.isspace() for c in value):
-        return 0.0
-    counts = Counter(value)
-    entropy = -sum(n / len(value) * math.log2(n / len(value)) for n in counts.values())
-    kinds = sum(bool(re.search(p, value)) for p in ("[a-z]", "[A-Z]", "[0-9]", "[^A-Za-z0-9]"))
-    return min(1.0, entropy / 4.0) * (0.5 + 0.25 * min(kinds, 3) - 0.25 * (kinds < 2))
+ENDS = 64  # characters at the start, and at the end, by which a longer value is told to be a placeholder
+
+
+class Value:
+    """What a name stands for: the places of its literals, as a graph of the values it was put together from, and what
+    the score needs to know of the text, which is never put together itself."""
+
+    def __init__(self, place: tuple[int, int] | None = None, text: str = "", parts: tuple[Value, ...] = ()):
+        self.place, self.parts = place, parts
+        if len(parts) == 1:  # another name's value
+            self.length, self.counts, self.head, self.tail = parts[0].length, parts[0].counts, parts[0].head, parts[0].tail
+            return
+        self.length, self.counts, self.head, self.tail = len(text), Counter(text), text[:ENDS], text[-ENDS:]
+        for part in parts:
+            self.length += part.length
+            self.counts = self.counts + part.counts
+            self.head = (self.head + part.head)[:ENDS]
+            self.tail = (self.tail + part.tail)[-ENDS:]
+
+    def score(self) -> float:
+        """How much a literal looks like a secret rather than a word or a placeholder, 0 to 1."""
+        ends = self.head if self.length <= ENDS else self.head + self.tail
+        if self.length < 6 or PLACEHOLDER.match(ends) or any(c.isspace() for c in self.counts):
+            return 0.0
+        entropy = -sum(n / self.length * math.log2(n / self.length) for n in self.counts.values())
+        letters = "".join(self.counts)
+        kinds = sum(bool(re.search(p, letters)) for p in ("[a-z]", "[A-Z]", "[0-9]", "[^A-Za-z0-9]"))
+        return min(1.0, entropy / 4.0) * (0.5 + 0.25 * min(kinds, 3) - 0.25 * (kinds < 2))
+
+
+def _declared(text: str, tokens: list[tuple[str, int, int]], at: int) -> int | None:
+    """The token of the name in front of ``name : type``, if the tokens up to ``at`` end in a type on the same line."""
+    low = at
+    while low > 0 and (tokens[low][0] in ("name", "bare") or text[tokens[low][1]:tokens[low][2]] in "[](),.|&<>?* "):
+        low -= 1
+    colon = text[tokens[low][1]:tokens[low][2]] == ":" and 0 < low < at and tokens[low - 1][0] in ("name", "string")
+    return low - 1 if colon else None
 
 
 def assignments(text: str) -> list[tuple[str, list[tuple[str, int, int]]]]:
@@ -80,12 +109,12 @@ def assignments(text: str) -> list[tuple[str, list[tuple[str, int, int]]]]:
         kind, start, end = tokens[k]
         if kind == "assign" and text[start:end] in _ASSIGNS and k:
             back = k - 1
-            while back and text[tokens[back][1]:tokens[back][2]] in ("]", ")"):
+            typed = _declared(text, tokens, back) if text[start:end] == "=" else None
+            while typed is None and back and text[tokens[back][1]:tokens[back][2]] in ("]", ")"):
                 back -= 1
-            left, s, e = tokens[back]
-            if text[start:end] == "=" and left == "name" and back > 1 and text[tokens[back - 1][1]:tokens[back - 1][2]] == ":":
-                if tokens[back - 2][0] in ("name", "string"):  # a declaration with a type: name : type =
-                    left, s, e = tokens[back - 2]
+            left, s, e = tokens[back if typed is None else typed]
+            while typed is not None and pairs and pairs[-1][1][0][1] > s:  # the type had been taken for the value
+                pairs.pop()
             name = text[s + 1:e - 1] if left == "string" else text[s:e] if left == "name" else ""
             parts, k = [], k + 1
             while k < len(tokens):
@@ -116,19 +145,27 @@ def assignments(text: str) -> list[tuple[str, list[tuple[str, int, int]]]]:
 def lexed_spans(text: str, threshold: float) -> list[tuple[int, str, int]]:
     """Spans found by the lexer: ``literal`` under a telling name, ``constant`` where a telling name takes its
     value from another name whose literal was assigned before."""
-    constants: dict[str, list[tuple[int, int]]] = {}
-    found = set()
+    constants: dict[str, Value] = {}
+    found, told = set(), set()
     for name, parts in assignments(text):
-        value, places = "", []
+        values = []
         for kind, start, end in parts:
-            at = [(start, end)] if kind == "literal" else constants.get(text[start:end], [])
-            if kind == "name" and not at and len(parts) == 1:  # an unquoted word
-                at, kind = [(start, end)], "literal"
-            value += "".join(text[s:e] for s, e in at)
-            places += [("literal" if kind == "literal" else "constant", s, e) for s, e in at]
-        constants[name] = [(s, e) for _, s, e in places]
-        if name_score(name) * literal_score(value) >= threshold:
-            found.update((s, kind, e) for kind, s, e in places)
+            if kind == "literal" or (len(parts) == 1 and text[start:end] not in constants):  # or an unquoted word
+                values.append(Value((start, end), text[start:end]))
+            elif text[start:end] in constants:
+                values.append(Value(parts=(constants[text[start:end]],)))
+        value = constants[name] = values[0] if len(values) == 1 else Value(parts=tuple(values))
+        weight = name_score(name)
+        if weight and weight * value.score() >= threshold:
+            found.update((v.place[0], "literal", v.place[1]) for v in values if v.place)
+            rest = [p for v in values for p in v.parts]
+            while rest:  # a value is gone through once, however many names lead to it
+                v = rest.pop()
+                if id(v) not in told:
+                    told.add(id(v))
+                    rest.extend(v.parts)
+                    if v.place:
+                        found.add((v.place[0], "constant", v.place[1]))
     literals = {(s, e) for s, kind, e in found if kind == "literal"}
     return [x for x in found if x[1] == "literal" or (x[0], x[2]) not in literals]
 

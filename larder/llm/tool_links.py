@@ -101,14 +101,15 @@ def _checked(calls: DataFrame, schemas: dict[str, dict]) -> DataFrame:
         for name, text in zip(batch.column("name").to_pylist(), batch.column("arguments").to_pylist()):
             try:
                 value = parsed(text)
-            except (ValueError, RecursionError):
-                texts.append(canonical(text or ""))
-                errors.append(["$: no JSON"])
-                refs.append([])
-                continue
-            texts.append(canonical(value))
-            errors.append(schema_errors(value, schemas[name]) if name in schemas else [f"unknown tool {name}"])
-            refs.append(references(value))
+                written = canonical(value)
+                written.encode()  # an escaped half of a surrogate pair is no character
+                wrong = schema_errors(value, schemas[name]) if name in schemas else [f"unknown tool {name}"]
+                needs = references(value)
+            except (ValueError, RecursionError):  # no JSON, or nested more deeply than can be followed
+                written, wrong, needs = canonical(text or ""), ["$: no JSON"], []
+            texts.append(written)
+            errors.append(wrong)
+            refs.append(needs)
         return dict(enumerate([*[batch.column(c) for c in ("conv", "turn", "place", "id", "name")], texts, errors, refs]))
 
     return settle(map_text(calls, work, "conv long, turn long, place long, id string, name string, arguments string, "

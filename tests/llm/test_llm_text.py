@@ -243,3 +243,13 @@ def test_arrow_slices_hold_whole_rows():
     from larder.llm.arrow import slices
     batch = pa.RecordBatch.from_pydict({"text": ["a" * 10, None, "b" * 50, "", "c"]})
     assert [p.num_rows for p in slices(iter([batch]), "text", 20)] == [2, 1, 2]
+
+
+def test_constants_that_double_take_no_time_and_types_are_stepped_over():
+    lines = ["x0 = 'Kx9_77hQ2zz1'"] + [f"x{k} = x{k - 1} + x{k - 1}" for k in range(1, 60)] + ["password = x59"]
+    text = "\n".join(lines)
+    assert [(text[s:e], kind) for s, kind, e in secret_scan.lexed_spans(text, 0.5)] == [("Kx9_77hQ2zz1", "constant")]
+    grown = "s = 'a8F$'\n" + "s = s + 'q7'\n" * 20_000 + "token = s"
+    assert len(secret_scan.lexed_spans(grown, 0.0)) >= 1
+    for typed in ("password: Optional[str] = 'Kx9_77hQ2zz1'", "password: dict[str, list[int]] | None = 'Kx9_77hQ2zz1'", "const apiToken: string = 'Kx9_77hQ2zz1'"):
+        assert [typed[s:e] for s, _, e in secret_scan.lexed_spans(typed, 0.5)] == ["Kx9_77hQ2zz1"]

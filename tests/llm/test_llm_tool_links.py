@@ -90,3 +90,12 @@ def test_turns_of_null_and_other_roles_are_messages(spark, tmp_path):
     rows = op6_tool_links(spark, str(tmp_path)).collect()
     assert sorted(r.turn for r in rows) == [0, 1, 2, 3, 4]
     assert {r.turn: json.loads(r.json)["role"] for r in rows if r.part == 0} == {0: "system", 3: "user", 4: "tool"}
+
+
+def test_deep_nesting_and_half_surrogates_are_no_json(spark):
+    texts = ["[" * 1500 + "]" * 1500, "[" * 100_000, '{"a": "\\ud800"}'.replace("\\\\", "\\"), '{"a": 1}', None, '"' + "long " * 300_000 + '"']
+    calls = spark.createDataFrame([(k, 0, k, f"c{k}", "t", t) for k, t in enumerate(texts)],
+                                  "conv long, turn long, place long, id string, name string, arguments string")
+    out = {r.conv: r for r in tool_links._checked(calls, {"t": {}}).collect()}
+    assert [out[k].errors for k in range(6)] == [["$: no JSON"]] * 3 + [[], ["$: no JSON"], []]
+    assert out[3].arguments == '{"a":1}' and len(out[5].arguments) == 1_500_002
