@@ -10,7 +10,7 @@ from larder.functions.fixed import (
     HIDDEN_OPPORTUNITY, HIGH_RANK, INSUFFICIENT_HISTORY, LOW_PERFORMER, MIN_HISTORY_DAYS, MIN_UNITS,
     NEUTRAL_RATING, PROFIT_DRIVER, QUALITY_HIDDEN_OPPORTUNITY, QUALITY_PROFIT_DRIVER, VOLUME_DRIVER, WASTE_OK,
 )
-from larder.operators.ranking import value_ranks
+from larder.operators.ranking import rows_below, value_ranks
 from larder.session import settle
 from larder.sources.io import union_all
 
@@ -120,7 +120,8 @@ def item_location_features(lines: DataFrame, prepared: DataFrame, wasted: DataFr
 def multi_indicator_label(rows: DataFrame, out: str = "rule_label") -> DataFrame:
     """Label from ranks of volume and margin and a quality score of rating, repeats and waste.
 
-    Ranks are the share of eligible rows strictly below, taken from value counts. Missing
+    Ranks are the share of eligible rows strictly below, taken from value counts; volume and margin
+    are compared with one cut each, and the few values of the other measures are broadcast. Missing
     ratings count as neutral, missing repeats and waste as zero; a missing margin has no rank
     and reaches neither high-margin label.
     """
@@ -133,15 +134,16 @@ def multi_indicator_label(rows: DataFrame, out: str = "rule_label") -> DataFrame
         "_waste": F.coalesce("wastage_percent", F.lit(0.0))})
     ranked = filled.filter(eligible)
     n = one_row(ranked, F.count(F.lit(1)).alias("n"))["n"]
-    measures = ["_units", "_margin", "_rating", "_repeat", "_waste"]
+    share = F.col("below") / F.greatest(n - 1, F.lit(1))
+    ranks = value_ranks(ranked, ["_units", "_margin", "_rating", "_repeat", "_waste"])
+    # a row is high in a measure if its value is at least the smallest one with enough rows below
+    high = {m: ranks[m].filter(share >= HIGH_RANK).agg(F.min("value").alias("value")).scalar() for m in ("_units", "_margin")}
     result = filled
-    for m, ranks in value_ranks(ranked, measures).items():
-        ranks = ranks.select(F.col("value").alias(f"{m}_value"), F.col("below").alias(f"{m}_below"))
-        result = result.join(ranks, F.col(m).cast("double") == F.col(f"{m}_value"), "left")
-    share = {m: F.col(f"{m}_below") / F.greatest(n - 1, F.lit(1)) for m in measures}
-    quality = 0.5 * share["_rating"] + 0.25 * share["_repeat"] + 0.25 * (1 - share["_waste"])
-    popular = F.coalesce(share["_units"] >= HIGH_RANK, F.lit(False))
-    rich = F.coalesce(share["_margin"] >= HIGH_RANK, F.lit(False))
+    for m in ("_rating", "_repeat", "_waste"):
+        result = rows_below(result, m, ranks[m].withColumn("below", share), f"{m}_share")
+    quality = 0.5 * F.col("_rating_share") + 0.25 * F.col("_repeat_share") + 0.25 * (1 - F.col("_waste_share"))
+    popular = F.coalesce(F.col("_units") >= high["_units"], F.lit(False))
+    rich = F.coalesce(F.col("_margin") >= high["_margin"], F.lit(False))
     frugal = F.col("_waste") <= WASTE_OK
     label = (F.when(~eligible, F.lit(INSUFFICIENT_HISTORY))
              .when(popular & rich & frugal & (quality >= QUALITY_PROFIT_DRIVER), F.lit(PROFIT_DRIVER))

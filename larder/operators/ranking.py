@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from larder.session import settle
@@ -11,21 +11,31 @@ from larder.session import settle
 def global_row_number(frame: DataFrame, order_by: list[str], out: str = "row_number") -> DataFrame:
     """Number all rows 1..n in the given order.
 
-    Spark's range sort spreads the rows, the sorted rows are written with their position in
-    their partition, and each partition's start is the row count of the partitions before
-    it. Only those counts (one row per partition) are summed in one place. Ties on the
+    Spark's range sort spreads the rows, and the sorted rows are written with their position in their partition. A
+    partition's start is the row count of the partitions before it: one number per partition is counted and put into
+    the plan as a literal array, so the written rows are numbered where they lie and not shuffled again. Ties on the
     leading columns spread too, as long as ``order_by`` ends in a unique column.
     """
     # monotonically_increasing_id: partition index in the upper bits, position in the lower 33
-    placed = settle(frame.orderBy(*order_by).withColumn("_id", F.monotonically_increasing_id())).withColumn(
-        "_part", F.shiftright("_id", 33))
-    sizes = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_rows"))
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select("_part", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start"))
+    placed = settle(frame.orderBy(*order_by).withColumn("_id", F.monotonically_increasing_id()))
+    part = F.shiftright("_id", 33).cast("int")
+    sizes = dict(placed.groupBy(part.alias("part")).count().collect())  # a row per partition of the sort
+    starts = [0]
+    for k in range(max(sizes, default=0)):
+        starts.append(starts[-1] + sizes.get(k, 0))
     position = F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))
-    return (placed.join(starts, "_part")
-            .withColumn(out, F.col("_start") + position + 1)
-            .drop("_id", "_part", "_start"))
+    return placed.withColumn(out, F.get(F.array(*[F.lit(n).cast("long") for n in starts]), part) + position + 1).drop("_id")
+
+
+def rank_bounds(frame: DataFrame, value: str, key: str, shares: list[float]) -> list[Column]:
+    """For each share the last row, as a struct (value, key), whose position from 0 among n sorted rows is at most
+    share * (n - 1). Rows are compared with these structs instead of being numbered; only the two columns are sorted."""
+    numbered = global_row_number(frame.select(value, key), [value, key], "_rank")
+    n = numbered.count()
+    at = [int(share * (n - 1)) + 1 for share in shares]
+    rows = {r["_rank"]: r for r in numbered.filter(F.col("_rank").isin(at)).collect()}  # a row per share
+    kinds = [numbered.schema[c].dataType for c in (value, key)]
+    return [F.struct(F.lit(rows[k][0]).cast(kinds[0]).alias(value), F.lit(rows[k][1]).cast(kinds[1]).alias(key)) for k in at] if n else []
 
 
 def quantiles_of_ranked(ranked: DataFrame, value: str, row_number: str, shares: dict[str, float]) -> DataFrame:
@@ -54,3 +64,17 @@ def value_ranks(frame: DataFrame, values: list[str]) -> dict[str, DataFrame]:
     below = Window.partitionBy("column").orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
     ranks = settle(counts.withColumn("below", F.coalesce(F.sum("ties").over(below), F.lit(0))))
     return {v: ranks.filter(F.col("column") == v).select("value", "below", "ties") for v in values}
+
+
+BROADCAST_VALUES = 500_000  # distinct values, of 16 bytes each, that are sent to every executor
+
+
+def rows_below(frame: DataFrame, column: str, ranks: DataFrame, out: str) -> DataFrame:
+    """``frame`` with ``out``, the number of ranked rows below its value (null if the value was not ranked).
+
+    The values of a rounded column are few and are broadcast, after a count, so that a hot value moves no row.
+    """
+    ranks = ranks.select(F.col("value").alias("_value"), F.col("below").alias(out))
+    if ranks.count() <= BROADCAST_VALUES:
+        ranks = F.broadcast(ranks)
+    return frame.join(ranks, F.col(column).cast("double") == F.col("_value"), "left").drop("_value")

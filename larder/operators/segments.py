@@ -10,7 +10,8 @@ from larder.functions.fixed import (
     AT_RISK, AT_RISK_NAMED, FREQUENT, HIGH_VALUE_LOYAL, LOYAL, NEW_CUSTOMER, NEW_CUSTOMERS, OCCASIONAL,
     PROMOTION_DRIVEN, REGULAR,
 )
-from larder.operators.ranking import global_row_number, quantiles_of_ranked
+from larder.operators.ranking import global_row_number, quantiles_of_ranked, rank_bounds
+from larder.session import settle
 
 
 def recency_profile(rfm: DataFrame) -> DataFrame:
@@ -18,28 +19,28 @@ def recency_profile(rfm: DataFrame) -> DataFrame:
                    F.median("recency_days").alias("median_days"))
 
 
-def _fifth(row_number: str, total: Column) -> Column:
-    """Fifth (1..5) of a row among n numbered rows, edges right-closed as in a quantile cut."""
-    position = 5 * (F.col(row_number) - 1)
-    return F.greatest(F.lit(1), F.ceil(safe_ratio(position, total - 1))).cast("int")
+def _fifth(rfm: DataFrame, measure: str) -> Column:
+    """Fifth (1..5) of a row by its place in the order of a measure, edges right-closed as in a quantile cut."""
+    place, score = F.struct(measure, "customer_id"), F.lit(5)
+    for fifth, last in reversed(list(enumerate(rank_bounds(rfm, measure, "customer_id", [k / 5 for k in (1, 2, 3, 4)]), 1))):
+        score = F.when(place <= last, F.lit(fifth)).otherwise(score)
+    return score
 
 
 def rfm_scores(rfm: DataFrame) -> DataFrame:
     """Scores 1..5 for recency, frequency and money and their sum.
 
     Recency is cut at its exact quantiles, so equal day counts share a score. Frequency and
-    money are cut by rank with ties broken by customer, which needs a global order.
+    money are cut by rank with ties broken by customer: the last customers of the fifths are looked
+    up in a sort of two columns, and rows are compared with them where they lie.
     """
     edges = rfm.agg(F.percentile("recency_days", F.array(*[F.lit(s) for s in (0.2, 0.4, 0.6, 0.8)]))
                     .alias("value")).scalar()
-    total = rfm.agg(F.count(F.lit(1)).alias("value")).scalar()
     recency = F.lit(1)
     for i, score in ((3, 2), (2, 3), (1, 4), (0, 5)):
         recency = F.when(F.col("recency_days") <= edges[i], F.lit(score)).otherwise(recency)
-    numbered = global_row_number(rfm, ["frequency", "customer_id"], "_f")
-    numbered = global_row_number(numbered, ["monetary", "customer_id"], "_m")
-    return (numbered
-            .withColumns({"r_score": recency, "f_score": _fifth("_f", total), "m_score": _fifth("_m", total)})
+    rfm = settle(rfm, "rfm")  # read by three rankings and by the result
+    return (rfm.withColumns({"r_score": recency, "f_score": _fifth(rfm, "frequency"), "m_score": _fifth(rfm, "monetary")})
             .withColumn("rfm_score", F.col("r_score") + F.col("f_score") + F.col("m_score"))
             .select(*rfm.columns, "r_score", "f_score", "m_score", "rfm_score"))
 

@@ -168,3 +168,22 @@ def test_forecast_matches_least_squares(spark):
     assert {r.row_type: r["count"] for r in out.groupBy("row_type").count().collect()} == {"actual": 27, "test": 6, "forecast": 4}
     ahead = [r.forecast_quantity for r in out.filter("row_type = 'forecast'").orderBy("week_start").collect()]
     assert ahead == pytest.approx(list(np.clip(cut + slope * np.arange(33, 37), 0, None)))
+
+
+def test_ranks_need_no_second_shuffle_and_bounds_equal_numbering(spark):
+    data = [(k, (k * 37) % 11) for k in range(101)]
+    frame = spark.createDataFrame(data, "customer_id int, v int").repartition(5)
+    plan = ranking.global_row_number(frame, ["v", "customer_id"])._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Join" not in plan
+    order = sorted((v, k) for k, v in data)
+    shares = [0.0, 0.2, 0.5, 0.999, 1.0]
+    bounds = ranking.rank_bounds(frame, "v", "customer_id", shares)
+    assert [tuple(r) for r in frame.limit(1).select(*[b.alias(f"b{i}") for i, b in enumerate(bounds)]).first()] == [order[int(s * 100)] for s in shares]
+    assert ranking.rank_bounds(frame.limit(0), "v", "customer_id", shares) == []
+
+
+def test_rows_below_come_without_a_shuffle(spark):
+    frame = spark.createDataFrame([(1, 0.5), (2, 0.5), (3, None), (4, 0.1)], "id int, x double")
+    out = ranking.rows_below(frame, "x", ranking.value_ranks(frame, ["x"])["x"], "n")
+    assert sorted((r.id, r.n) for r in out.collect() if r.n is not None) == [(1, 1), (2, 1), (4, 0)] and out.count() == 4
+    assert "SortMergeJoin" not in out._jdf.queryExecution().executedPlan().toString()
