@@ -112,8 +112,15 @@ ITEM_FEATURE_COLUMNS = [
     "profit_margin", "wastage_percent",
 ]
 CUSTOMER_RFM_COLUMNS = ["customer_id", "frequency", "monetary", "recency_days"]
+WEEKLY_COLUMNS = ["entity_id", "entity_name", "week_start", "units", "net_revenue", "orders", "promo_units"]
+
 CONTRACTS = {
     "order_lines_features": LINE_FEATURE_COLUMNS,
     "item_features": ITEM_FEATURE_COLUMNS,
     "customer_rfm": CUSTOMER_RFM_COLUMNS,
+    "weekly_item": WEEKLY_COLUMNS,
+    "weekly_category": WEEKLY_COLUMNS,
+    "weekly_location": WEEKLY_COLUMNS,
+    "daily_location": ["order_date", "location_id", "orders", "units", "net_revenue", "profit"],
+    "daily_item": ["order_date", "item_id", "units", "net_revenue"],
 }

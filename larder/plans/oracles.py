@@ -845,6 +845,17 @@ def _queries() -> dict[str, str]:
                                "FROM st_items")
 
     q["weekly_demand"] = "SELECT category_name, cast(week_start AS varchar) AS week_start, quantity FROM st_weekly"
+    sums = f"""cast(sum(quantity) AS bigint) AS units, cast(round({money('net')}, 2) AS double) AS net_revenue"""
+    for name, key, text, table in (("item", "item_id", "item_name", "fx_menu_items"), ("category", "category_id", "category_name", "fx_menu_categories"),
+                                   ("location", "location_id", "restaurant_name", "fx_restaurants")):
+        q[f"weekly_{name}"] = f"""SELECT s.{key}::varchar AS entity_id, n.{text} AS entity_name, cast(week_start AS varchar) AS week_start, units,
+            net_revenue, orders, promo_units FROM
+            (SELECT {key}, date_trunc('week', order_date)::date AS week_start, {sums}, count(DISTINCT order_id) AS orders,
+                    cast(coalesce(sum(quantity) FILTER (promo_id IS NOT NULL), 0) AS bigint) AS promo_units
+             FROM st_named WHERE done GROUP BY ALL) AS s LEFT JOIN {table} AS n ON n.{key} = s.{key}"""
+    q["daily_location"] = f"""SELECT cast(order_date AS varchar) AS order_date, location_id, count(DISTINCT order_id) AS orders, {sums},
+        cast(round({money('profit')}, 2) AS double) AS profit FROM st_named WHERE done GROUP BY ALL"""
+    q["daily_item"] = f"""SELECT cast(order_date AS varchar) AS order_date, item_id, {sums} FROM st_named WHERE done GROUP BY ALL"""
     q["weekly_demand_location"] = """SELECT location_id, cast(date_trunc('week', order_date - 1)::date + 1 AS varchar) AS week_start,
         cast(sum(quantity) AS bigint) AS quantity FROM st_named WHERE done GROUP BY ALL"""
     q["contract_fill"] = union(

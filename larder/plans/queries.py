@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from larder.functions.columns import rounded
 from larder.functions.fixed import CONTRACTS, Q_ORPHAN_LINE, Q_ORPHAN_RATING, Q_UNKNOWN_ITEM
 from larder.operators import (
-    basket, business, classify, cleaning, features, forecast, joins, patterns, quality, recommend, risk, scenarios,
+    basket, business, classify, cleaning, features, forecast, joins, patterns, periods, quality, recommend, risk, scenarios,
     segments,
 )
 from larder.plans.sales import SETTINGS, CleanedSales, Sales
@@ -562,6 +562,18 @@ def forecast_metrics_location(s):
     return to_places(forecast.forecast_metrics(forecast.split_series(weekly, "location_id"), "location_id"), 4, *METRIC_COLUMNS)
 
 
+def _period_query(name: str) -> None:
+    def build(s):
+        return io.require_contract(s.period_table(name), name)
+
+    build.__name__ = name
+    query(build)
+
+
+for _name in periods.SERIES:
+    _period_query(_name)
+
+
 @query
 def contract_fill(s):
     """How well the columns that the contracts demand are filled."""

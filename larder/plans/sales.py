@@ -7,7 +7,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larder.operators import basket, classify, features, forecast, joins, patterns, recommend, segments
+from larder.operators import basket, classify, features, forecast, joins, patterns, periods, recommend, segments
 from larder.operators.cleaning import SalesCleaning
 from larder.session import configure, settle
 from larder.sources.fixtures import SalesTables
@@ -167,6 +167,19 @@ class Sales:
     def weekly(self) -> DataFrame:
         return forecast.weekly_demand(self.named_lines)
 
+    @cached_property
+    def period_totals(self) -> DataFrame:
+        """The sums of all weekly and daily tables, which read them from one written table."""
+        return settle(periods.period_totals(self.named_lines), "period-totals")
+
+    def period_table(self, name: str) -> DataFrame:
+        names = {"weekly_item": (self.items, "item_id", "item_name"), "weekly_category": (self.categories, "category_id", "category_name"),
+                 "weekly_location": (self.locations, "location_id", "restaurant_name")}
+        if name not in names:
+            return {"daily_location": periods.daily_location, "daily_item": periods.daily_item}[name](self.period_totals)
+        table, key, text = names[name]
+        return periods.weekly_series(self.period_totals, name, table.select(F.col(key).alias("entity_id"), F.col(text).alias("entity_name")))
+
     @cached_property
     def series(self) -> DataFrame:
         return forecast.split_series(settle(self.weekly))
