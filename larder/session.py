@@ -6,6 +6,7 @@ import pathlib
 import shutil
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -80,6 +81,19 @@ def _clear() -> None:
             drop_tables(spark, [root])
 
 
+@contextmanager
+def shuffles_deleted(spark: SparkSession):
+    """Within, a write deletes its shuffle files when it ends, and not when the driver next collects garbage. Nothing
+    reads them again, as a write is a plan of its own."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def settle(frame: DataFrame, name: str = "frame") -> DataFrame:
     """Write a frame as a Parquet table into the run's folder and read it back.
 
@@ -88,6 +102,7 @@ def settle(frame: DataFrame, name: str = "frame") -> DataFrame:
     """
     spark = frame.sparkSession
     path = f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
-    frame.write.parquet(path)
+    with shuffles_deleted(spark):
+        frame.write.parquet(path)
     settled.append(path)
     return spark.read.schema(frame.schema).parquet(path)

@@ -68,3 +68,10 @@ def test_rules_of_a_large_itemset_come_level_by_level(spark):
     got = {(tuple(r.antecedents), tuple(r.consequents)) for r in whole.collect()}
     splits = {(tuple(range(k)), tuple(range(k, size))) for k in range(1, size) if k != 5}
     assert got == splits | {(b, a) for a, b in splits}
+
+
+def test_settling_deletes_its_shuffle_files_and_restores_the_setting(spark):
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name)
+    table = settle(spark.range(1000).selectExpr("id % 7 AS k").groupBy("k").count())
+    assert {r["count"] for r in table.collect()} == {142, 143} and spark.conf.get(name) == before
