@@ -80,17 +80,15 @@ def audit_step(step: str, step_no: int, left: DataFrame, right: DataFrame, keys:
     totals = joined.agg(
         _count(F.col("n_left")).alias("rows_before"), _count(F.col("n_left") * matched).alias("rows_after"),
         _count(F.when(F.col("n_right").isNull(), F.col("n_left"))).alias("unmatched"))
-    return _audit_row(totals, step, step_no, keys, n_right, "n_right", full_match)
+    return _audit_row(totals, step, step_no, keys, duplicate_keys(right, keys).scalar(), full_match)
 
 
 def _count(rows: Column) -> Column:
     return F.coalesce(F.sum(rows), F.lit(0)).cast("bigint")
 
 
-def _audit_row(totals: DataFrame, step: str, step_no: int, keys: list[str], right_counts: DataFrame,
-               n_right: str, full_match: bool) -> DataFrame:
-    """The report of one step from its row counts and the row count per key of the right side."""
-    duplicates = right_counts.agg(F.count_if(F.col(n_right) > 1).alias("value")).scalar()
+def _audit_row(totals: DataFrame, step: str, step_no: int, keys: list[str], duplicates: Column, full_match: bool) -> DataFrame:
+    """The report of one step from its row counts and the number of keys its right side has more than once."""
     grown = F.col("rows_after") - F.col("rows_before")
     flags = [F.when(grown > 0, F.format_string("BALLOON (+%,d rows)", grown))]
     if full_match:
@@ -99,49 +97,73 @@ def _audit_row(totals: DataFrame, step: str, step_no: int, keys: list[str], righ
     text = F.concat_ws(", ", *flags)
     return totals.select(
         F.lit(step_no).alias("step_no"), F.lit(step).alias("step"), F.lit(", ".join(keys)).alias("join_key"),
-        "rows_before", "rows_after", duplicates.alias("duplicate_keys"), "unmatched",
+        "rows_before", "rows_after", duplicates.cast("bigint").alias("duplicate_keys"), "unmatched",
         F.when(text == "", F.lit("ok")).otherwise(text).alias("result"))
 
 
-def audit_lookups(first_no: int, left: DataFrame, lookups: list[tuple[str, DataFrame, list[str], bool]]) -> DataFrame:
-    """Audit rows of consecutive left joins whose right sides bring no further join key.
+def _partners(frame: DataFrame, key: str, name: str) -> DataFrame:
+    """How many rows each value of the key has."""
+    return frame.groupBy(key).agg(F.count(F.lit(1)).alias(name))
 
-    Each right side is reduced to its row count per key, so a row is never multiplied: the
-    product of the counts met so far is its weight. All steps are summed in one pass.
-    """
-    rows, weight, sums, counts = left, F.lit(1).cast("bigint"), [], []
-    for i, (_, right, keys, _) in enumerate(lookups):
-        per_key = right.groupBy(*keys).agg(F.count(F.lit(1)).alias(f"n{i}"))
-        rows = rows.join(per_key, keys, "left")
-        after = weight * F.coalesce(F.col(f"n{i}"), F.lit(1))
-        sums += [_count(weight).alias(f"before{i}"), _count(after).alias(f"after{i}"),
-                 _count(F.when(F.col(f"n{i}").isNull(), weight)).alias(f"unmatched{i}")]
-        counts.append(per_key)
-        weight = after
-    totals = settle(rows.agg(*sums))
-    return union_all([
-        _audit_row(totals.select(F.col(f"before{i}").alias("rows_before"), F.col(f"after{i}").alias("rows_after"),
-                                 F.col(f"unmatched{i}").alias("unmatched")),
-                   step, first_no + i, keys, counts[i], f"n{i}", full_match)
-        for i, (step, _, keys, full_match) in enumerate(lookups)])
+
+def _met(count: str) -> Column:
+    """What a left join multiplies a row by, given the number of its partners."""
+    return F.coalesce(F.col(count), F.lit(1))
 
 
 def join_audit(lines: DataFrame, orders: DataFrame, items: DataFrame, categories: DataFrame,
                customers: DataFrame, locations: DataFrame, prices: DataFrame, ratings: DataFrame) -> DataFrame:
-    """One audit row per step of the wide join. Only key columns travel from step to step."""
-    order_keys = orders.select("order_id", "customer_id", "location_id")
-    item_keys = items.select("item_id", "category_id")
-    bare = lines.select("order_id", "item_id")
-    ordered = bare.join(order_keys, "order_id", "left")
+    """One audit row per step of the wide join, from counts that multiply instead of rows that are joined.
+
+    After any step, the rows that come from one line are a product: what its item brings (items, their categories,
+    prices) times what its order brings (orders, their customers and locations) times its ratings. So the lines are
+    read once and counted per order and item, weighed by their item, summed per order, and weighed by their order. A key
+    that is missing on the right, or NULL, keeps its row with weight one and counts as unmatched.
+    """
+    by_category = _partners(categories, "category_id", "n")
+    by_customer, by_location = _partners(customers, "customer_id", "n_customers"), _partners(locations, "location_id", "n_locations")
+    # per item: rows of the item, rows once categories are met, those that met none, and whether a price is known
+    per_item = (items.select("item_id", "category_id").join(by_category, "category_id", "left").groupBy("item_id")
+                .agg(F.count(F.lit(1)).alias("n_items"), F.sum(_met("n")).alias("n_categories"), F.count_if(F.col("n").isNull()).alias("no_category"))
+                .join(prices.select("item_id").distinct().withColumn("priced", F.lit(1)), "item_id", "full"))
+    met_both = _met("n_customers") * _met("n_locations")
+    per_order = (orders.select("order_id", "customer_id", "location_id").join(by_customer, "customer_id", "left")
+                 .join(by_location, "location_id", "left").groupBy("order_id")
+                 .agg(F.count(F.lit(1)).alias("n_orders"), F.sum(_met("n_customers")).alias("to_customers"),
+                      F.count_if(F.col("n_customers").isNull()).alias("no_customer"), F.sum(met_both).alias("to_locations"),
+                      F.sum(F.when(F.col("n_locations").isNull(), _met("n_customers")).otherwise(0)).alias("no_location")))
+    rated = ratings.select("order_id", "item_id").distinct().withColumn("rated", F.lit(1))
+    counted = lines.groupBy("order_id", "item_id").agg(F.count(F.lit(1)).alias("n")).join(rated, ["order_id", "item_id"], "left")
+    named = F.col("n") * _met("n_categories")  # an item without a row in ``items`` has no counts, so its weight is one
+    sums = counted.join(per_item, "item_id", "left").groupBy("order_id").agg(
+        F.sum("n").alias("lines"), F.sum(F.col("n") * _met("n_items")).alias("itemed"), F.sum(named).alias("named"),
+        F.sum(F.when(F.col("n_items").isNull(), F.col("n")).otherwise(0)).alias("no_item"),
+        F.sum(F.col("n") * F.coalesce(F.col("no_category"), F.lit(1))).alias("no_category"),
+        F.sum(F.when(F.col("priced").isNull(), named).otherwise(0)).alias("no_price"),
+        F.sum(F.when(F.col("rated").isNull(), named).otherwise(0)).alias("no_rating"))
+    one = lambda name: F.coalesce(F.col(name), F.lit(1))
+    ordered, to_customers, to_locations = one("n_orders"), one("to_customers"), one("to_locations")
+    after = [F.col("lines"), F.col("lines") * ordered, F.col("itemed") * ordered, F.col("named") * ordered,
+             F.col("named") * to_customers, *[F.col("named") * to_locations] * 3]  # prices and ratings have one row a key
+    unmatched = [F.when(F.col("n_orders").isNull(), F.col("lines")).otherwise(0), F.col("no_item") * ordered,
+                 F.col("no_category") * ordered, F.col("named") * one("no_customer"), F.col("named") * one("no_location"),
+                 F.col("no_price") * to_locations, F.col("no_rating") * to_locations]
+    joined = sums.join(per_order, "order_id", "left")
+    totals = settle(joined.agg(*[_count(c).alias(f"after{i}") for i, c in enumerate(after)],
+                               *[_count(c).alias(f"unmatched{i}") for i, c in enumerate(unmatched, 1)]), "audit-totals")
+
+    def repeated(frame: DataFrame, key: str) -> Column:
+        return duplicate_keys(frame, [key]).scalar()
+
+    steps = [("orders", ["order_id"], repeated(orders, "order_id"), True), ("menu_items", ["item_id"], repeated(items, "item_id"), True),
+             ("menu_categories", ["category_id"], repeated(categories, "category_id"), True),
+             ("customers", ["customer_id"], repeated(customers, "customer_id"), True),
+             ("restaurants", ["location_id"], repeated(locations, "location_id"), True),
+             ("pricing", ["item_id"], F.lit(0), True), ("ratings", ["order_id", "item_id"], F.lit(0), False)]
     return union_all([
-        audit_step("orders", 1, bare, order_keys, ["order_id"]),
-        audit_step("menu_items", 2, ordered, item_keys, ["item_id"]),
-        audit_lookups(3, ordered.join(item_keys, "item_id", "left"), [
-            ("menu_categories", categories, ["category_id"], True),
-            ("customers", customers, ["customer_id"], True),
-            ("restaurants", locations, ["location_id"], True),
-            ("pricing", price_rollup(prices), ["item_id"], True),
-            ("ratings", rating_rollup(ratings), ["order_id", "item_id"], False)])])
+        _audit_row(totals.select(F.col(f"after{i - 1}").alias("rows_before"), F.col(f"after{i}").alias("rows_after"),
+                                 F.col(f"unmatched{i}").alias("unmatched")), step, i, keys, duplicates, full_match)
+        for i, (step, keys, duplicates, full_match) in enumerate(steps, 1)])
 
 
 def reconcile(before: DataFrame, after: DataFrame) -> DataFrame:
