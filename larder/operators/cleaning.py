@@ -7,7 +7,7 @@ exact copies were collapsed; a NULL condition counts as broken.
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import reduce
+from functools import cached_property, reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,7 +18,10 @@ from larder.functions.fixed import (
     IMPOSSIBLE_WASTE, INVALID_BRANCH, INVALID_LOCATION, LAST_PLAUSIBLE_DATE, LOCATIONS, MISSING_CUSTOMER,
     MISSING_ITEM, NEGATIVE_STOCK, ORPHAN_LINES, ORPHAN_RATING, UNKNOWN_ITEM, UNPARSEABLE_DATE,
 )
-from larder.sources.io import union_all
+from larder.session import settle
+from larder.sources.io import MALFORMED, union_all
+
+MALFORMED_RECORD = "malformed record"
 
 
 @dataclass(frozen=True)
@@ -99,6 +102,11 @@ class SalesCleaning:
         return Rule(name, F.col("location_id").isin(self.locations))
 
     def rules(self, table: str) -> list[Rule]:
+        """The rules of a table; one scanned with malformed lines kept has them rejected first, under a rule of their own."""
+        malformed = [Rule(MALFORMED_RECORD, F.col(MALFORMED).isNull())] if MALFORMED in self.raw[table].columns else []
+        return malformed + self._rules(table)
+
+    def _rules(self, table: str) -> list[Rule]:
         date = F.try_to_date(F.col("order_date").cast("string"), "yyyy-MM-dd")
         if table == "orders":
             return [
@@ -111,34 +119,39 @@ class SalesCleaning:
         if table == "order_items":
             return [
                 Rule(MISSING_ITEM, F.col("item_id").isNotNull()),
-                Rule(UNKNOWN_ITEM, key="item_id", known=self.raw["menu_items"]),
+                Rule(UNKNOWN_ITEM, key="item_id", known=self.surviving("menu_items")),
                 Rule(BAD_QUANTITY, F.col("quantity") > 0),
                 Rule(BAD_PRICE, F.col("unit_price") > 0),
                 Rule(BAD_DISCOUNT, F.col("discount_pct").between(0, 100)),
-                Rule(ORPHAN_LINES, key="order_id", known=self.surviving("orders")),
+                Rule(ORPHAN_LINES, key="order_id", known=self.order_keys),
             ]
         if table == "ratings":
             return [
                 Rule(BAD_RATING, F.col("rating_value").between(1, 5)),
-                Rule(ORPHAN_RATING, key="order_id", known=self.surviving("orders")),
+                Rule(ORPHAN_RATING, key="order_id", known=self.order_keys),
             ]
         if table == "wastage":
             return [
                 Rule(IMPOSSIBLE_WASTE, F.col("quantity_wasted").between(1, 1000)),
                 self._located(INVALID_LOCATION),
                 Rule(MISSING_ITEM, F.col("item_id").isNotNull()),
-                Rule(UNKNOWN_ITEM, key="item_id", known=self.raw["menu_items"]),
+                Rule(UNKNOWN_ITEM, key="item_id", known=self.surviving("menu_items")),
             ]
         if table == "inventory":
             return [Rule(NEGATIVE_STOCK, F.col("closing_stock") >= 0), self._located(INVALID_LOCATION)]
         return []
 
+    @cached_property
+    def order_keys(self) -> DataFrame:
+        """The ids of the orders that break no rule, written once, as several tables are held against them."""
+        return settle(self.surviving("orders").select("order_id").distinct(), "order-keys")
+
     def surviving(self, table: str) -> DataFrame:
         """Rows for key lookups, where copies do not matter and a dedupe would cost a shuffle."""
         return surviving_rows(self.raw[table], self.rules(table))
 
     def clean(self, table: str) -> DataFrame:
-        return standardise(clean_rows(self.raw[table], self.rules(table)), table)
+        return standardise(clean_rows(self.raw[table], self.rules(table)).drop(MALFORMED), table)
 
     def audit(self, table: str) -> DataFrame:
         return audit_rows(self.raw[table], self.rules(table))

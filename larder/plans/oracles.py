@@ -648,6 +648,10 @@ def _queries() -> dict[str, str]:
     for table, day in (("wastage", "waste_date"), ("inventory", "week_start")):
         q[f"clean_rejects_{table}"] = (f"SELECT item_id, location_id, cast({day} AS varchar) AS {day}, failed AS first_failed_rule, "
                                        f"n_copies FROM st_audit_{table} WHERE failed IS NOT NULL")
+    q["quarantine"] = union(
+        f"""SELECT '{t}' AS table_name, CASE WHEN {bad} THEN 'malformed record' ELSE failed END AS rule, count(*) AS n_rows,
+            cast(sum(n_copies) AS bigint) AS n_copies FROM st_audit_{t} WHERE {bad} OR failed IS NOT NULL GROUP BY 1, 2"""
+        for t, bad in (("order_items", "order_id % 97 = 5"), ("ratings", "order_id % 89 = 3")))
     q["cleaned_item_revenue"] = f"""SELECT item_id, cast(sum(quantity) AS bigint) AS total_quantity_sold,
             count(DISTINCT i.order_id) AS n_orders,
             cast(round({money('unit_price * quantity * (1 - discount_pct / 100)')}, 2) AS double) AS net_revenue,

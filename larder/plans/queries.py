@@ -9,12 +9,12 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from larder.functions.columns import rounded
-from larder.functions.fixed import CONTRACTS, Q_ORPHAN_LINE, Q_ORPHAN_RATING, Q_UNKNOWN_ITEM
+from larder.functions.fixed import CONTRACTS, Q_ORPHAN_LINE, Q_ORPHAN_RATING, Q_UNKNOWN_ITEM, RAW_SCHEMAS
 from larder.operators import (
     basket, business, classify, cleaning, features, forecast, joins, patterns, periods, quality, recommend, risk, scenarios,
     segments,
@@ -73,21 +73,50 @@ def write_and_verify(s):
         io.write_and_verify(s.rfm, _scratch(s, "rfm"), "customer_rfm")])
 
 
+def _csv_columns(frame: DataFrame, table: str, **changed: Column) -> DataFrame:
+    """The declared columns of a raw table; those the frame lacks are empty."""
+    names = [f.name for f in T.StructType.fromDDL(RAW_SCHEMAS[table])]
+    return frame.select(*[changed.get(n, F.col(n) if n in frame.columns else F.lit(None).cast("string")).alias(n) for n in names])
+
+
+def _line_id() -> Column:
+    return F.concat_ws("-", F.lit("L"), "order_id", "line_no")
+
+
 @query
 def csv_rescan(s):
-    """Order lines written as monthly CSV folders and scanned back through one glob with the declared schema."""
+    """Order lines written as monthly CSV folders and scanned back together with the declared schema."""
     root = _scratch(s, "csv")
     month = F.date_format("order_date", "yyyy_MM")
-    (s.order_items.join(s.orders.select("order_id", month.alias("month")), "order_id")
-     .select(F.concat_ws("-", "order_id", "line_no").alias("order_item_id"), "order_id", "item_id", "quantity",
-             "unit_price", "discount_pct", "line_total", "month")
-     .write.mode("overwrite").partitionBy("month").csv(f"{root}/order_items", header=True))
-    spark = s.tables.spark
-    back = spark.read.csv(f"{root}/order_items/month=*/*.csv", schema=io.RAW_SCHEMAS["order_items"], header=True)
+    lines = s.order_items.join(s.orders.select("order_id", month.alias("month")), "order_id")
+    columns = [f.name for f in T.StructType.fromDDL(RAW_SCHEMAS["order_items"])]
+    io.write_csv(lines.withColumn("order_item_id", _line_id()).select(*columns, "month"), io.raw_path(root, "order_items"), ["month"])
+    back = io.read_raw(s.tables.spark, root, "order_items")
     return back.agg(F.count(F.lit(1)).alias("n_rows"), F.sum("quantity").alias("quantity"),
                     F.round(F.sum(F.col("line_total").cast("decimal(18,2)")), 2).cast("double").alias("line_total"))
 
 
+@query
+def quarantine(s):
+    """Raw lines and ratings written as CSV, some numbers with a unit, scanned back, cleaned, and the rejects kept."""
+    root, kept, spark = _scratch(s, "raw"), _scratch(s, "quarantine"), s.tables.spark
+    raw = s.tables.raw()
+
+    def with_unit(name: str, unit: str, when: Column) -> Column:
+        return F.concat(F.col(name).cast("string"), F.when(when, unit).otherwise(""))
+
+    spoilt = {"order_items": {"order_item_id": _line_id(), "quantity": with_unit("quantity", " pcs", F.col("order_id") % 97 == 5)},
+              "ratings": {"rating_value": with_unit("rating_value", " stars", F.col("order_id") % 89 == 3)}}
+    for table, changed in spoilt.items():
+        io.write_csv(_csv_columns(raw[table], table, **changed), io.raw_path(root, table))
+    cleaner = cleaning.SalesCleaning(raw | {t: io.read_raw(spark, root, t, io.MALFORMED) for t in spoilt},
+                                     first_date="1990-01-01", last_date="2026-09-28")
+    for table in spoilt:
+        io.write_quarantine(cleaning.rejected(cleaner.audit(table)), kept, table)
+    return io.read_quarantine(spark, kept).groupBy("table_name", "rule").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum("n_copies").alias("n_copies"))
+
+
 # --- quality
 
 @query

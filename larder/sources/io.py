@@ -11,18 +11,52 @@ from pyspark.sql import types as T
 from larder.functions.fixed import CONTRACTS, RAW_SCHEMAS
 
 
+MALFORMED = "_malformed"  # the text of a CSV line that does not fit its schema
+QUARANTINE = "n_copies BIGINT, record STRING, table_name STRING, rule STRING"
+
+
 def raw_path(root: str, table: str) -> str:
-    """Order lines arrive as one file per month, every other table as one file."""
-    return f"{root}/order_items/*.csv" if table == "order_items" else f"{root}/{table}.csv"
+    """Order lines arrive as one file per month in a folder, every other table as one file."""
+    return f"{root}/order_items" if table == "order_items" else f"{root}/{table}.csv"
+
+
+def read_raw(spark: SparkSession, root: str, table: str, malformed: str | None = None) -> DataFrame:
+    """Scan a raw CSV table with its declared schema (no inference pass).
+
+    Values that do not fit the schema are NULL. With ``malformed`` a column of that name holds the whole line where
+    that happened, or where a line has too many or too few fields, and NULL elsewhere; all columns are then parsed.
+    """
+    schema, reader = RAW_SCHEMAS[table], spark.read.option("header", True)
+    if malformed:
+        schema = f"{schema}, {malformed} STRING"
+        reader = reader.option("columnNameOfCorruptRecord", malformed).option("columnPruning", False)
+    if table == "order_items":
+        reader = reader.option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv*")
+    return reader.schema(schema).csv(raw_path(root, table))
 
 
-def read_raw(spark: SparkSession, root: str, table: str) -> DataFrame:
-    """Scan a raw CSV table with its declared schema (no inference pass)."""
-    return spark.read.csv(raw_path(root, table), schema=RAW_SCHEMAS[table], header=True)
+def read_all_raw(spark: SparkSession, root: str, malformed: str | None = None) -> dict[str, DataFrame]:
+    return {table: read_raw(spark, root, table, malformed) for table in RAW_SCHEMAS}
 
 
-def read_all_raw(spark: SparkSession, root: str) -> dict[str, DataFrame]:
-    return {table: read_raw(spark, root, table) for table in RAW_SCHEMAS}
+def write_quarantine(rejects: DataFrame, path: str, table_name: str) -> None:
+    """Keep the rejected rows of a table (columns first_failed_rule, n_copies) in a folder per table and rule.
+
+    A row is kept as JSON text, a malformed line as it was read, so tables of any shape lie side by side. Writing a
+    table again replaces all of its rows, those of rules that no longer reject any included, and no other table's.
+    """
+    fields = [c for c in rejects.columns if c not in ("first_failed_rule", "n_copies", MALFORMED)]
+    record = F.to_json(F.struct(*fields), {"ignoreNullFields": "false"})
+    if MALFORMED in rejects.columns:
+        record = F.coalesce(F.col(MALFORMED), record)
+    (rejects.select("n_copies", record.alias("record"), F.col("first_failed_rule").alias("rule"))
+     .write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("rule")
+     .parquet(f"{path}/table_name={table_name}"))
+
+
+def read_quarantine(spark: SparkSession, path: str) -> DataFrame:
+    """All quarantined rows; conditions on table_name and rule choose the folders that are read."""
+    return spark.read.schema(QUARANTINE).parquet(path)
 
 
 def ingest_profile(tables: dict[str, DataFrame]) -> DataFrame:
@@ -50,9 +84,10 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def write_csv(frame: DataFrame, path: str) -> None:
+def write_csv(frame: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
     """Export a result as CSV part files with a header, written by the executors."""
-    frame.write.mode("overwrite").csv(path, header=True)
+    writer = frame.write.mode("overwrite")
+    (writer.partitionBy(*partition_by) if partition_by else writer).csv(path, header=True)
 
 
 def write_and_verify(frame: DataFrame, path: str, name: str) -> DataFrame:

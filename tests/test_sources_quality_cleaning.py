@@ -8,7 +8,7 @@ from larder.functions.fixed import (
     BAD_PRICE, BAD_QUANTITY, EXACT_DUPLICATES, IMPLAUSIBLE_DATE, INVALID_BRANCH, MISSING_CUSTOMER, UNPARSEABLE_DATE,
 )
 from larder.operators import quality
-from larder.operators.cleaning import Rule, SalesCleaning, audit_rows, clean_rows, removal_summary, standardise
+from larder.operators.cleaning import Rule, SalesCleaning, audit_rows, clean_rows, rejected, removal_summary, standardise
 from larder.sources import io
 
 ORDERS = "order_id string, customer_id string, location_id string, order_date string, channel string, status string"
@@ -109,3 +109,42 @@ def test_truth_file_keeps_text_entries_that_are_item_ids(spark, tmp_path, rows):
     path = tmp_path / "truth.json"
     path.write_text(json.dumps({"popular": "M001", "other": "X1", "many": ["M002"], "nested": {"a": "M003"}}, indent=1))
     assert rows(io.read_cases(spark, str(path))) == [("popular", "M001")]
+
+
+def test_malformed_lines_are_rejected_first_and_quarantined_by_table_and_rule(spark, tmp_path, rows):
+    (tmp_path / "order_items").mkdir()
+    file = tmp_path / "order_items" / "2024_07.csv"
+    head = "order_item_id,order_id,item_id,quantity,unit_price,discount_pct,line_total\n"
+    bad = ["b,o1,i1,two,10.5,0,21", "c,o1,i1,2", "d,o1,i1,2,10.5,0,21,9"]
+    file.write_text(head + "\n".join(["a,o1,i1,2,10.5,0,21", *bad, "e,o1,i1,0,10.5,0,0", "e,o1,i1,0,10.5,0,0", "f,o1,,1,1,0,1"]) + "\n")
+    plain = io.read_raw(spark, str(tmp_path), "order_items")
+    assert io.MALFORMED not in plain.columns and plain.count() == 7
+    raw = {"order_items": io.read_raw(spark, str(tmp_path), "order_items", io.MALFORMED),
+           "orders": spark.createDataFrame([("o1", "c1", "L01", "2024-07-01")], "order_id string, customer_id string, location_id string, order_date string"),
+           "menu_items": spark.createDataFrame([("i1",)], "item_id string")}
+    cleaner = SalesCleaning(raw, locations=["L01"], first_date="2020-01-01", last_date="2025-01-01")
+    kept = cleaner.clean("order_items")
+    assert rows(kept, "order_item_id") == [("a",)] and kept.columns == plain.columns
+    path = str(tmp_path / "quarantine")
+    io.write_quarantine(rejected(cleaner.audit("order_items")), path, "order_items")
+    held = io.read_quarantine(spark, path)
+    assert sorted(r.record for r in held.filter("rule = 'malformed record'").collect()) == bad
+    other = held.filter("rule <> 'malformed record'")
+    assert sorted((json.loads(r.record)["order_item_id"], r.n_copies) for r in other.collect()) == [("e", 2), ("f", 1)]
+    # another table is added, and a table that is written again leaves nothing of its rows before
+    io.write_quarantine(spark.createDataFrame([("r1", "x", 1)], "rating_id string, first_failed_rule string, n_copies bigint"), path, "ratings")
+    one = cleaner.audit("order_items").filter("order_item_id = 'f'")
+    io.write_quarantine(rejected(one), path, "order_items")
+    assert rows(io.read_quarantine(spark, path), "table_name", "n_copies") == [("order_items", 1), ("ratings", 1)]
+    io.write_quarantine(rejected(one).limit(0), path, "ratings")
+    assert io.read_quarantine(spark, path).filter("table_name = 'ratings'").count() == 0
+
+
+def test_duplicates_are_counted_where_fingerprints_repeat(spark):
+    frame = spark.createDataFrame([(1, None), (None, 1), (1, None), (1, None), (2, 2), (None, None), (None, None)], "a int, b int")
+    assert quality.exact_duplicates(frame).first().n_duplicates == 3 and quality.exact_duplicates(frame.limit(0)).first().n_duplicates == 0
+    marks = frame.distinct().select(quality.fingerprint(frame).alias("f"))
+    assert marks.distinct().count() == 4  # a missing value is not stepped over
+    # rows that share a fingerprint without being equal are told apart
+    every = frame.distinct().select(F.lit("t").alias("table_name"), quality.fingerprint(frame).alias("fingerprint"))
+    assert quality._surplus(quality.suspects(frame, every, "t")).first().n_duplicates == 3
