@@ -41,7 +41,8 @@ _IP = r"(?P<ip>(?<![\w.])(?:\d{1,3}\.){3}\d{1,3}(?!\.?\w))"
 _CARD = r"(?P<card>(?<![\w-])(?:[3-6]\d{3}(?P<gap>[ -]?)\d{4}(?P=gap)\d{4}(?P=gap)\d{4}|3[47]\d{13})(?!\w))"
 _PHONE = (r"(?P<phone>(?<![\w+(])(?:(?:\+\d{1,3}[ .-]?)?(?:\(\d{3}\) ?\d{3}[-. ]\d{4}|\d{3}[-.]\d{3}[-.]\d{4})"
           r"|\+\d{1,3}(?:[ .-]\d{2,4}){3,5})(?![\w]))")
-_CAPITAL = r"[^\W\d_a-zà-öø-ÿа-яё][^\W\d_]+"
+_UPPER = r"[^\W\d_a-zà-öø-ÿа-яё]"
+_CAPITAL = rf"(?:{_UPPER}['’])?{_UPPER}[^\W\d_]+(?:-{_UPPER}[^\W\d_]+)*"
 _TITLED = rf"\b(?P<title>(?i:{'|'.join(sorted(map(re.escape, TITLES), key=len, reverse=True))}))\.? (?P<name>{_CAPITAL}(?: {_CAPITAL})?)"
 _NAMED = rf"(?P<named>\b(?P<given>{'|'.join(sorted(n for names in GIVEN.values() for n in names.split()))}) (?P<surname>{_CAPITAL})\b)"
 _FIND = re.compile("|".join((_EMAIL, _IP, _CARD, _PHONE, _TITLED, _NAMED)))
@@ -172,6 +173,66 @@ def surrogate(secret: bytes, kind: str, canon: str, traits: str, attempt: int) -
     return body + SURNAME_ENDINGS[script, gender]
 
 
+#: Draws after which a format's space counts as crowded, as more than half of it would have to be taken for that to happen.
+CROWDED = 16
+
+
+def permuted(secret: bytes, space: str, value: int, size: int) -> int:
+    """A keyed permutation of the numbers below ``size``: a Feistel network over the next even power of two, walked
+    until it comes back below ``size``."""
+    half = max(1, -(-(size - 1).bit_length() // 2))
+    mask = (1 << half) - 1
+    while True:
+        left, right = value >> half, value & mask
+        for turn in range(8):
+            block = hmac.new(secret, f"{space}\x00{turn}\x00{right}".encode(), hashlib.sha256).digest()
+            left, right = right, left ^ int.from_bytes(block[:16], "big") & mask
+        value = left << half | right
+        if value < size:
+            return value
+
+
+def space_of(kind: str, canon: str, traits: str) -> str:
+    """The finite set an entity and its surrogates belong to; empty for words and mail names, which can grow."""
+    if kind == "ip":
+        return f"ip {traits}"
+    if kind == "card":
+        return f"card {traits} {canon[0]} {len(canon)}"
+    if kind == "phone":
+        head, _, national = canon.rpartition(" ")
+        return f"phone {head} {len(national)} {national[0] > '1'}"
+    return ""
+
+
+def permuted_surrogate(secret: bytes, kind: str, canon: str, traits: str) -> str:
+    """The surrogate of an entity of a crowded space: different for different entities, however many there are. It may
+    be the entity of another place, or in rare cases the entity itself."""
+    space = space_of(kind, canon, traits)
+    if kind == "ip":
+        number = int.from_bytes(bytes(map(int, canon.split("."))), "big")
+        fixed, size = {"10": (10 << 24, 1 << 24), "192.168": (49320 << 16, 1 << 16), "172": (44048 << 16, 1 << 20)}.get(traits, (0, 1 << 32))
+        while True:
+            number = fixed + permuted(secret, space, number - fixed, size)
+            octets = list(number.to_bytes(4, "big"))
+            if _private(octets) == traits:
+                return ".".join(map(str, octets))
+    if kind == "card":
+        # the digits between the first and the last, and which of the last digits that are possible it is
+        def lasts(body: str) -> list[str]:
+            return [str(d) for d in range(10) if luhn(body + str(d)) == (traits == "luhn")]
+
+        body, each = canon[:-1], 1 if traits == "luhn" else 9
+        value = int(canon[1:-1]) * each + lasts(body).index(canon[-1])
+        middle, last = divmod(permuted(secret, space, value, 10 ** (len(canon) - 2) * each), each)
+        body = f"{canon[0]}{middle:0{len(canon) - 2}d}"
+        return body + lasts(body)[last]
+    head, _, national = canon.rpartition(" ")
+    unit = 10 ** (len(national) - 1)
+    least, count = (2, 8) if national[0] > "1" else (0, 2)
+    fresh = least * unit + permuted(secret, space, int(national) - least * unit, count * unit)
+    return f"{head} {fresh:0{len(national)}d}".strip()
+
+
 def rendered(shown: str, kind: str, new: str) -> str:
     """The canonical surrogate in the format of the mention it stands for."""
     if kind in ("card", "phone"):
@@ -207,27 +268,39 @@ def assign_surrogates(entities: DataFrame, secret: bytes) -> DataFrame:
     """Rows (kind, canon, surrogate) for rows (kind, canon, traits), one per entity.
 
     A surrogate is taken by one entity of its kind only and is no entity of the corpus itself. Where two
-    entities draw the same, the one with the smaller canonical form keeps it, and the others draw again until
-    none is left; every round settles at least one of each clash.
+    entities draw the same, the one with the smaller canonical form keeps it, and the others draw again; every
+    round settles at least one of each clash. Words and mail names grow with the rounds, so they always end. A
+    space of numbers (the addresses of a private network, the phone numbers of a length and country) that still has
+    entities without a surrogate after CROWDED rounds is too full for that: all its entities then get theirs from a
+    keyed permutation of the space, which are different from each other but may be entities of the corpus.
     """
     spark = prepare(entities.sparkSession)
 
-    def draw(attempt: int):
+    def replaced(choose):
+        """The rows of batches with what ``choose`` makes of an entity, without those it gives nothing for."""
         def work(batches):
             for batch in batches:
-                kinds, canons, traits = (batch.column(c).to_pylist() for c in ("kind", "canon", "traits"))
-                new = [surrogate(secret, *x, attempt) for x in zip(kinds, canons, traits)]
-                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(new, pa.string())], ["kind", "canon", "traits", "surrogate"])
+                rows = [(*x, new) for x in zip(*(batch.column(c).to_pylist() for c in ("kind", "canon", "traits"))) if (new := choose(*x))]
+                columns = [pa.array(c, pa.string()) for c in zip(*rows)] or [pa.array([], pa.string())] * 4
+                yield pa.RecordBatch.from_arrays(columns, ["kind", "canon", "traits", "surrogate"])
         return work
 
+    shape = "kind string, canon string, traits string, surrogate string"
     entities = settle(entities.groupBy("kind", "canon").agg(F.max("traits").alias("traits")), "entities")
     real = entities.select("kind", F.col("canon").alias("surrogate"))
     pending, taken, attempt = entities, None, 0
     while True:
-        drawn = settle(pending.mapInArrow(draw(attempt), "kind string, canon string, traits string, surrogate string"), "drawn")
-        free = drawn.join(real if taken is None else real.unionAll(taken.select("kind", "surrogate")), ["kind", "surrogate"], "left_anti")
-        won = free.groupBy("kind", "surrogate").agg(F.min("canon").alias("canon"))
-        taken = settle(won if taken is None else taken.unionByName(won), "taken")
+        if attempt == CROWDED:
+            spaces = pending.mapInArrow(replaced(space_of), shape).select(F.col("surrogate").alias("space")).distinct()
+            crowded = settle(entities.mapInArrow(replaced(space_of), shape).withColumnRenamed("surrogate", "space")
+                             .join(spaces, "space", "left_semi").select("kind", "canon", "traits"), "crowded")
+            fixed = crowded.mapInArrow(replaced(lambda *x: permuted_surrogate(secret, *x)), shape).select("kind", "surrogate", "canon")
+            taken = settle(taken.join(crowded, ["kind", "canon"], "left_anti").select("kind", "surrogate", "canon").unionByName(fixed), "taken")
+        else:
+            drawn = settle(pending.mapInArrow(replaced(lambda *x, n=attempt: surrogate(secret, *x, n)), shape), "drawn")
+            free = drawn.join(real if taken is None else real.unionAll(taken.select("kind", "surrogate")), ["kind", "surrogate"], "left_anti")
+            won = free.groupBy("kind", "surrogate").agg(F.min("canon").alias("canon"))
+            taken = settle(won if taken is None else taken.unionByName(won), "taken")
         pending = settle(pending.join(taken, ["kind", "canon"], "left_anti"), "pending")
         if pending.isEmpty():
             return taken.select("kind", "canon", "surrogate")

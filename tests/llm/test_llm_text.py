@@ -253,3 +253,34 @@ def test_constants_that_double_take_no_time_and_types_are_stepped_over():
     assert len(secret_scan.lexed_spans(grown, 0.0)) >= 1
     for typed in ("password: Optional[str] = 'Kx9_77hQ2zz1'", "password: dict[str, list[int]] | None = 'Kx9_77hQ2zz1'", "const apiToken: string = 'Kx9_77hQ2zz1'"):
         assert [typed[s:e] for s, _, e in secret_scan.lexed_spans(typed, 0.5)] == ["Kx9_77hQ2zz1"]
+
+
+def test_crowded_spaces_are_permuted(spark):
+    """40,000 of the 65,536 addresses of 192.168/16 leave too few others; phones and mail of the same corpus are drawn."""
+    rows = [("ip", f"192.168.{k >> 8}.{k & 255}", "192.168") for k in range(40000)] + [("ip", "8.8.4.4", "public"), ("phone", "+49 30123", "")]
+    out = surrogates.assign_surrogates(spark.createDataFrame(rows, "kind string, canon string, traits string"), b"k").collect()
+    new = {(r.kind, r.canon): r.surrogate for r in out}
+    assert len(out) == len(new) == len(rows) and len(set(new.values())) == len(rows)
+    assert all(new["ip", c].startswith("192.168.") for k, c, t in rows if t == "192.168")
+    assert new["ip", "8.8.4.4"] == surrogates.surrogate(b"k", "ip", "8.8.4.4", "public", 0) and new["phone", "+49 30123"].startswith("+49 ")
+
+
+@pytest.mark.parametrize("kind,traits,canons", [
+    ("phone", "", [f"+7 {n}" for n in range(200, 1000)]), ("phone", "", [f"{n:03d}" for n in range(200)]),
+    ("card", "luhn", [c for n in range(1000) if surrogates.luhn(c := f"4{n:03d}")]),
+    ("card", "", [c for n in range(1000) if not surrogates.luhn(c := f"4{n:03d}")])])
+def test_a_permutation_covers_its_space(kind, traits, canons):
+    new = [surrogates.permuted_surrogate(b"k", kind, c, traits) for c in canons]
+    assert sorted(new) == sorted(canons) and new != canons
+    assert len({surrogates.space_of(kind, c, traits) for c in canons}) == 1
+
+
+def test_public_addresses_stay_public():
+    new = {surrogates.permuted_surrogate(b"k", "ip", f"{a}.0.0.{b}", "public") for a in (8, 9, 11, 172, 192) for b in range(50)}
+    assert len(new) == 250 and not any(surrogates.mentions(x)[0].traits != "public" for x in new)
+
+
+def test_names_with_hyphen_and_apostrophe():
+    words = lambda text: [text[m.start:m.end] for m in surrogates.mentions(text)]
+    assert words("Mr. Smith-Jones met Dr O'Neill and Anna D'Arcy-Lee's dog") == ["Smith-Jones", "O'Neill", "Anna", "D'Arcy-Lee"]
+    assert words("Mrs Smith's house") == ["Smith"]
