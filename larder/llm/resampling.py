@@ -64,7 +64,8 @@ class Features:
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray, np.ndarray]]]:
         """Words per text, and for each run length: the text of every run, its place among the distinct runs, and
         the buckets of these."""
-        words = pc.split_pattern_regex(pc.ascii_lower(texts.fill_null("").cast(pa.large_string())), SEPARATORS)
+        # lowered before the cast: the cast of a slice keeps offsets that ascii_lower does not subtract
+        words = pc.split_pattern_regex(pc.ascii_lower(texts.fill_null("")).cast(pa.large_string()), SEPARATORS)
         flat, owner = pc.list_flatten(words), pc.list_parent_indices(words)
         filled = pc.greater(pc.binary_length(flat), 0)
         coded, owner = flat.filter(filled).dictionary_encode(), owner.filter(filled).to_numpy(zero_copy_only=False)

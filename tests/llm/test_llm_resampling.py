@@ -82,3 +82,19 @@ def test_shifted_crcs_are_those_of_the_joined_bytes():
     _, runs = features(pa.array([text]))
     for n, (owner, run, crc) in enumerate(runs, 1):
         assert crc[run].tolist() == [zlib.crc32(" ".join(words[i:i + n]).encode()) for i in range(len(words) - n + 1)]
+
+
+def test_several_slices_of_a_batch(spark):
+    rng = random.Random(3)
+    rows = [(k, " ".join(f"W{rng.randrange(900)}" for _ in range(rng.randrange(10, 4000)))) for k in range(300)]  # about 3 MB
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    out = resampling.resample(docs, spark.createDataFrame([("w1 w2 W3",)], "text string"))
+    assert sorted((tuple(r) for r in out.select("doc_id", "n_features", "weight", "score", "rank").collect()), key=repr) == plain(rows, ["w1 w2 W3"])
+
+
+def test_features_of_a_slice():
+    texts = [f"Ab cd{i} EF" for i in range(100)]
+    n_words, runs = resampling.Features()(pa.array(texts)[40:])
+    assert n_words.tolist() == [3] * 60
+    owner, run, bucket = runs[0]
+    assert bucket[run].tolist() == [b for text in texts[40:] for b in plain_features(text)[1][:3]]
