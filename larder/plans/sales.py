@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from larder.operators import basket, classify, features, forecast, joins, patterns, periods, recommend, segments
 from larder.operators.cleaning import SalesCleaning
-from larder.session import configure, settle
+from larder.session import bound_tasks, configure, settle
 from larder.sources.fixtures import SalesTables
 
 # Parameters of the pattern checks on the synthetic tables (dates 1995-2001).
@@ -38,6 +38,7 @@ class Sales:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.tables = SalesTables(configure(spark), sf_dir)
         self.view = self.tables.view
+        bound_tasks(spark, self.tables.base("lineitem").count())  # read from the files' footers
 
     # --- clean tables
     @cached_property
@@ -167,18 +168,15 @@ class Sales:
     def weekly(self) -> DataFrame:
         return forecast.weekly_demand(self.named_lines)
 
-    @cached_property
-    def period_totals(self) -> DataFrame:
-        """The sums of all weekly and daily tables, which read them from one written table."""
-        return settle(periods.period_totals(self.named_lines), "period-totals")
-
     def period_table(self, name: str) -> DataFrame:
+        """One of the weekly and daily tables, summed by its own keys only."""
+        totals = periods.period_totals(self.named_lines, [name])
         names = {"weekly_item": (self.items, "item_id", "item_name"), "weekly_category": (self.categories, "category_id", "category_name"),
                  "weekly_location": (self.locations, "location_id", "restaurant_name")}
         if name not in names:
-            return {"daily_location": periods.daily_location, "daily_item": periods.daily_item}[name](self.period_totals)
+            return {"daily_location": periods.daily_location, "daily_item": periods.daily_item}[name](totals)
         table, key, text = names[name]
-        return periods.weekly_series(self.period_totals, name, table.select(F.col(key).alias("entity_id"), F.col(text).alias("entity_name")))
+        return periods.weekly_series(totals, name, table.select(F.col(key).alias("entity_id"), F.col(text).alias("entity_name")))
 
     @cached_property
     def series(self) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from datetime import date
 
+from larder import session
 from larder.functions.fixed import CONTRACTS
 from larder.operators import periods
 
@@ -34,3 +35,25 @@ def test_series_equal_separate_groupings(spark, rows):
 
 def test_no_lines_give_no_rows(spark):
     assert periods.period_totals(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_a_single_series_equals_its_part_and_expands_nothing(spark, rows, capsys):
+    lines = spark.createDataFrame([*LINES, (None, 10, "a", "L1", date(2024, 1, 1), 1, 1.0, 0.5, None, 1)], SCHEMA)
+    every = periods.period_totals(lines).cache()
+    for name, keys in periods.SERIES.items():
+        columns = [*keys, "units", "net_revenue", "profit", "orders", "promo_units", "series"]
+        single = periods.period_totals(lines, [name])
+        assert rows(single, *columns) == rows(every.filter(f"series = '{name}'"), *columns)
+        single.explain()
+        assert "Expand" not in capsys.readouterr().out
+
+
+def test_tasks_grow_in_number_with_the_rows(spark):
+    name = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    kept = {k: spark.conf.get(k, None) for k in (name, "spark.sql.files.maxPartitionBytes", "spark.sql.adaptive.advisoryPartitionSizeInBytes")}
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    for rows_, want in ((0, least), (10, least), (216_000_000, 864)):
+        session.bound_tasks(spark, rows_)
+        assert int(spark.conf.get(name)) == max(least, want)
+    for k, v in kept.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
