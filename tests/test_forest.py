@@ -92,3 +92,15 @@ def test_no_rows_give_no_tree_and_null_scores(spark):
     some = spark.createDataFrame(table(3), SCHEMA)
     assert [r.score for r in forest.score_forest(some, model, ["a", "b"], "kind", "score").collect()] == [None] * 3
     assert forest.feature_weights(model, ["a", "b"], "kind").count() == 0
+
+
+def test_a_node_passes_the_driver_as_few_bytes(spark, monkeypatch):
+    seen = []
+    rows = spark.range(300).selectExpr(
+        "id", "cast(id % 17 as double) as a", "cast(id % 5 as double) as b", "concat('a long name of a kind ', id % 3) as kind", "cast(id % 11 as double) / 10 as target")
+    model = forest.fit_forest(rows, "id", ["a", "b"], "kind", "target", trees=5)
+    plain = type(rows).toArrow
+    monkeypatch.setattr(type(rows), "toArrow", lambda frame: seen.append(plain(frame)) or seen[-1])
+    forest.score_forest(rows, model, ["a", "b"], "kind", "score").collect()
+    assert sum(t.num_rows for t in seen) == model.count()
+    assert sum(t.nbytes for t in seen) <= 16 * model.count()
