@@ -138,6 +138,14 @@ def test_rules_equal_brute_force(spark):
     assert all(text == ", ".join("Apple" if i == "a" else i for i in a) for a, text in named.items())
 
 
+def test_basket_items_read_lines_once(spark, rows, tmp_path):
+    data = [(1, "a", 1), (1, "a", 1), (2, "a", 1), (2, "b", 0), (3, "b", 1), (3, None, 1), (None, "a", 1), (None, "b", 1)]
+    spark.createDataFrame(data, "order_id int, item_id string, is_completed int").write.parquet(f"{tmp_path}/lines")
+    pairs = basket.basket_items(spark.read.parquet(f"{tmp_path}/lines"))
+    assert rows(pairs) == [(1, "a"), (3, "b"), (3, None)]  # lines count, not items; lines without an order are no basket
+    assert pairs._jdf.queryExecution().optimizedPlan().toString().count("parquet") == 1
+
+
 def test_basket_filter_counts_lines_and_fallback_support_applies(spark, rows):
     lines = spark.createDataFrame([(1, "a", 1), (1, "a", 1), (2, "b", 1)], "order_id int, item_id string, is_completed int")
     assert tuple(basket.basket_split(lines).first()) == (1, 1)
