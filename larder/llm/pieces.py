@@ -12,7 +12,7 @@ from sentencepiece import sentencepiece_model_pb2
 from larder.llm.arrow import map_text, prepare, text_buffers, with_field
 from larder.llm.ragged import gather, mix, span_hashes
 
-SLICE_BYTES = 3 << 18  # text whose new segments are matched at once; their edges take some hundred times as much
+SLICE_BYTES = 3 << 17  # text whose new segments are matched at once; their edges take some hundred times as much
 CACHE_SYMBOLS = 1_000_000  # code points of distinct segments whose pieces a task remembers
 PAIR_SLOTS = 1 << 20  # remembered answers about neighbouring pieces
 SPACE = "▁"
@@ -264,6 +264,23 @@ class Decoder:
         return out
 
 
+def _encoded(frame: DataFrame, model_path: str, text: str, ids: str, out: str | None = None) -> DataFrame:
+    spark = prepare(frame.sparkSession)
+    frame = frame.drop(ids, *([out] if out else []))
+    model = spark.sparkContext.broadcast(PieceModel(model_path))  # as large as the vocabulary
+
+    def work(batch: pa.RecordBatch, state: tuple[Encoder, Decoder]) -> dict:
+        encoder, decoder = state
+        flat, begin = encoder.encode(batch.column(text))
+        lists = pa.ListArray.from_arrays(begin.astype(np.int32), flat)
+        return dict(enumerate([*batch.columns, lists, *([pa.array(decoder.decode(lists), pa.string())] if out else [])]))
+
+    schema = with_field(frame.schema, ids, "array<int>")
+    if out:
+        schema = with_field(schema, out, "string")
+    return map_text(frame, work, schema, text, setup=lambda: (Encoder(model.value), Decoder(model.value)), limit=SLICE_BYTES)
+
+
 def encode_pieces(frame: DataFrame, model_path: str, text: str = "text", ids: str = "piece_ids") -> DataFrame:
     """All columns of ``frame`` and ``ids``, the array of piece ids of the whole text; a column of that name is replaced.
 
@@ -271,16 +288,12 @@ def encode_pieces(frame: DataFrame, model_path: str, text: str = "text", ids: st
     array; repeated rows are encoded alike. A task matches the new distinct segments of SLICE_BYTES of text at once (or of
     one longer text), in one concatenated text. Segments are recognised by a 64-bit hash.
     """
-    spark = prepare(frame.sparkSession)
-    frame = frame.drop(ids)
-    model = spark.sparkContext.broadcast(PieceModel(model_path))  # as large as the vocabulary
+    return _encoded(frame, model_path, text, ids)
 
-    def work(batch: pa.RecordBatch, encoder: Encoder) -> dict:
-        flat, begin = encoder.encode(batch.column(text))
-        return dict(enumerate([*batch.columns, pa.ListArray.from_arrays(begin.astype(np.int32), flat)]))
 
-    schema = with_field(frame.schema, ids, "array<int>")
-    return map_text(frame, work, schema, text, setup=lambda: Encoder(model.value), limit=SLICE_BYTES)
+def encode_and_decode(frame: DataFrame, model_path: str, text: str = "text", ids: str = "piece_ids", out: str = "decoded") -> DataFrame:
+    """What ``decode_pieces`` gives after ``encode_pieces``, in one Python worker a task instead of two at once."""
+    return _encoded(frame, model_path, text, ids, out)
 
 
 def decode_pieces(frame: DataFrame, model_path: str, ids: str = "piece_ids", out: str = "decoded") -> DataFrame:
@@ -308,6 +321,6 @@ def round_trip(frame: DataFrame, model_path: str, key: str = "doc_id", text: str
 
     The space sign U+2581 of the model cannot be told from a space, so texts are compared with it written as one.
     """
-    both = decode_pieces(encode_pieces(frame.select(key, text), model_path, text), model_path)
+    both = encode_and_decode(frame.select(key, text), model_path, text)
     plain = F.translate(F.coalesce(F.col(text), F.lit("")), SPACE, " ")
     return both.select(key, F.size("piece_ids").cast("long").alias("n_pieces"), "piece_ids", (F.col("decoded") == plain).alias("same"))

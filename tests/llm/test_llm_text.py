@@ -53,6 +53,14 @@ def test_pieces_equal_the_library_and_decode_back(spark, texts):
     assert [r.decoded for r in pieces.decode_pieces(ids, MODEL).collect()][1:] == [None, ""]
 
 
+def test_pieces_are_encoded_and_decoded_by_one_worker(spark, texts):
+    table = spark.createDataFrame([(k, t, 7) for k, t in enumerate(texts)], "doc_id long, text string, decoded int")
+    both = pieces.encode_and_decode(table, MODEL)
+    assert sorted(map(tuple, both.collect())) == sorted(map(tuple, pieces.decode_pieces(pieces.encode_pieces(table, MODEL), MODEL).collect()))
+    for frame in (both, pieces.round_trip(table, MODEL)):
+        assert frame._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1
+
+
 def base_of(text):
     assign = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.A | re.I)
     found = [(m.start(), 0, f"assign:{m.start()}:{m.end()}") for m in assign.finditer(text) if len(m[2]) >= 12]
