@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -28,9 +30,10 @@ def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
 
 
 def fingerprint(frame: DataFrame) -> Column:
-    """A 64-bit hash of a row. Which columns are NULL is hashed too, as the hash itself steps over them."""
-    missing = F.concat(*[F.when(F.col(c).isNull(), "1").otherwise("0") for c in frame.columns])
-    return F.xxhash64(*frame.columns, missing)
+    """A 64-bit hash of a row. Which columns are NULL is hashed too, as bits, as the hash itself steps over them."""
+    bits = [F.when(F.col(c).isNull(), F.lit(1 << i % 31)).otherwise(F.lit(0)) for i, c in enumerate(frame.columns)]
+    missing = [reduce(Column.bitwiseOR, bits[i:i + 31]) for i in range(0, len(bits), 31)]
+    return F.xxhash64(*frame.columns, *missing)
 
 
 def repeated_fingerprints(tables: dict[str, DataFrame]) -> DataFrame:
@@ -56,10 +59,14 @@ def _surplus(rows: DataFrame) -> DataFrame:
 
 def duplicate_counts(tables: dict[str, DataFrame]) -> DataFrame:
     """Number of surplus copies per table. Only rows whose fingerprint is repeated are compared as a whole, so rows
-    that merely share a fingerprint are told apart and all others are never shuffled."""
+    that merely share a fingerprint are told apart and all others are never shuffled. A table without a repeated
+    fingerprint has no copies and is not read again."""
     repeated = repeated_fingerprints(tables)
+    again = {r["table_name"] for r in repeated.select("table_name").distinct().collect()}  # names of tables only
+    none = repeated.sparkSession.range(1).select(F.lit(0).cast("bigint").alias("n_duplicates"))
     return union_all([
-        _surplus(suspects(f, repeated, n)).select(F.lit(n).alias("table_name"), "n_duplicates") for n, f in tables.items()])
+        (_surplus(suspects(f, repeated, n)) if n in again else none).select(F.lit(n).alias("table_name"), "n_duplicates")
+        for n, f in tables.items()])
 
 
 def exact_duplicates(frame: DataFrame) -> DataFrame:

@@ -148,3 +148,19 @@ def test_duplicates_are_counted_where_fingerprints_repeat(spark):
     # rows that share a fingerprint without being equal are told apart
     every = frame.distinct().select(F.lit("t").alias("table_name"), quality.fingerprint(frame).alias("fingerprint"))
     assert quality._surplus(quality.suspects(frame, every, "t")).first().n_duplicates == 3
+
+
+def test_tables_without_repeated_fingerprints_are_not_read_again(spark, rows, tmp_path):
+    for name, data in (("once", [(1, None), (None, 1)]), ("twice", [(1, 1), (1, 1), (1, None)])):
+        spark.createDataFrame(data, "a int, b int").write.parquet(f"{tmp_path}/{name}")
+    tables = {name: spark.read.parquet(f"{tmp_path}/{name}") for name in ("once", "twice")}
+    counted = quality.duplicate_counts(tables)
+    assert rows(counted) == [("once", 0), ("twice", 1)]
+    plan = counted._jdf.queryExecution().executedPlan().toString()
+    assert f"{tmp_path}/twice" in plan and f"{tmp_path}/once" not in plan
+
+
+def test_missing_columns_beyond_one_word_of_bits_are_told_apart(spark):
+    n = 40
+    wide = spark.range(n).select(*[F.when(F.col("id") != i, 1).alias(f"c{i}") for i in range(n)])
+    assert wide.select(quality.fingerprint(wide).alias("f")).distinct().count() == n
