@@ -104,3 +104,50 @@ def test_a_node_passes_the_driver_as_few_bytes(spark, monkeypatch):
     forest.score_forest(rows, model, ["a", "b"], "kind", "score").collect()
     assert sum(t.num_rows for t in seen) == model.count()
     assert sum(t.nbytes for t in seen) <= 16 * model.count()
+
+
+def paths(model):
+    """The nodes of every tree by the way to them from its root, without their numbers."""
+    trees = {}
+    for r in model.collect():
+        trees.setdefault(r.tree, {})[r.node] = r
+    out = set()
+    for tree, nodes in trees.items():
+        assert sorted(nodes) == list(range(len(nodes)))
+        todo = [(0, "")]
+        while todo:
+            node, way = todo.pop()
+            r = nodes.pop(node)
+            out.add((tree, way, r.feature, r.cut, r.category, r.n, r.value, r.gain))
+            if r.left >= 0:
+                assert r.right == r.left + 1
+                todo += [(r.left, way + "l"), (r.right, way + "r")]
+        assert not nodes
+    return out
+
+
+def test_the_rows_a_tree_draws_do_not_depend_on_how_many_there_are(spark):
+    rows = spark.range(150_000).selectExpr(
+        "id", "cast(id % 3 as double) as a", "cast(id % 2 as double) as b", "'x' as kind", "cast(id % 7 as double) / 10 as target")
+    roots = forest.fit_forest(rows, "id", ["a", "b"], "kind", "target", trees=2).filter("node = 0").collect()
+    assert len(roots) == 2 and all(148_000 < r.n < 152_000 for r in roots)
+
+
+def test_a_forest_grown_in_pieces_is_the_one_grown_whole(spark):
+    # 100 equal rows, and 100 that differ in the target only, are leaves of more rows than a piece has
+    rows = spark.createDataFrame(table(200) + [(200 + k, 3.0, 1.0, "z", 0.5) for k in range(100)] + [(300 + k, 30.0, 1.0, "q", k % 2 / 2) for k in range(100)], SCHEMA)
+    whole = forest.fit_forest(rows, "id", ["a", "b"], "kind", "target", trees=2)
+    model = forest.fit_forest(rows, "id", ["a", "b"], "kind", "target", trees=2, piece_rows=50)
+    assert model.filter("piece > 0").count() and model.filter("piece = 0 AND feature = -1").count()
+    assert paths(model) == paths(whole)
+    new = rows.withColumn("kind", F.when(F.col("id") % 50 == 0, "unseen").otherwise(F.col("kind")))
+    scores = forest.score_forest(new, whole, ["a", "b"], "kind", "score")
+    for limit in (1, 1 << 20):
+        again = forest.score_forest(new, model, ["a", "b"], "kind", "score", limit, limit)
+        assert again.exceptAll(scores).count() == 0 and again.count() == 400
+
+
+def test_negative_targets_round_alike_in_pieces(spark):
+    rows = spark.createDataFrame([(k, float(k % 4), 0.0, "x", -(k % 7) / 3) for k in range(50)], SCHEMA)
+    fit = lambda n: paths(forest.fit_forest(rows, "id", ["a", "b"], "kind", "target", trees=1, piece_rows=n))
+    assert fit(8) == fit(1000)
